@@ -4,8 +4,9 @@ Native plan throughout: the number and its trailing unit are cut out with
 ``regexp_extract``, unit spellings are normalised by a join with an alias table,
 the stated unit is the first of unit field, unit in the value text, unit in the
 name text and source default, then ``value * factor + offset`` is applied.
-Both joined sides are fixed reference tables; their size is counted before a
-broadcast, so only the measured table is scanned and nothing large is shuffled.
+Joined sides are reference tables and distinct spellings; their size is counted
+before a broadcast, so only the measured table is scanned, and of it only the
+found cases are shuffled.
 
 Defined results
 ---------------
@@ -14,7 +15,7 @@ Defined results
 * a unit that does not fit the analyte's quantity: ``valor_comun`` null.
 * unknown analyte or section: kept, with null ``codigo`` and ``valor_comun``.
 * comma and point are decimal marks, never thousands marks.
-* repeated rows: one output row per distinct (id, value, unit, name).
+* repeated rows stay repeated; ``differing_units`` reports each of them once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordal.operators.analytes import analyte_names, name_base, name_key, name_tail, section_key, unit_key
-from cordal.session import bounded
+from cordal.session import bounded, lookup
 
 #: Quantity, factor to the quantity's base unit, spellings (as unit keys).
 #: Base units: mg/dL, mmol/L, /uL, %, mm, cm/s, cm2, mL, mmHg, mm/h, s, fL, U/L, mUI/L.
@@ -131,47 +132,62 @@ def to_common_unit(
     """id_fila, codigo, valor, unidad_hallada, factor, desplazamiento, valor_comun.
 
     ``value_cols`` are tried in order; text values may carry a unit behind the
-    number (``9 mg/dL``, ``9 en mg/dL``, ``9 (mg/dL)``).
+    number (``9 mg/dL``, ``9 en mg/dL``, ``9 (mg/dL)``). Spellings of names and
+    units repeat endlessly, so their keys are made once per distinct spelling
+    and joined back; a row itself only has its number cut out.
     """
-    value = F.coalesce(*[F.col(c).cast("string") for c in value_cols])
-    scientific = F.lit(None).cast("double")
-    for c in reversed(value_cols):  # doubles print as 1.0E7: take them as they are
-        if dict(df.dtypes)[c] in ("double", "float"):
-            scientific = F.coalesce(F.col(c).cast("double"), scientific)
-    number = F.coalesce(
-        scientific,
-        F.expr("try_cast(nullif(replace(replace(_numero, ',', '.'), '−', '-'), '') AS double)"),
+    kinds = dict(df.dtypes)
+    numeric = [F.col(c).cast("double") for c in value_cols if kinds[c] in ("double", "float", "int", "bigint")]
+    textual = [F.col(c).cast("string") for c in value_cols if kinds[c] == "string"]
+    typed = F.coalesce(*numeric) if numeric else F.lit(None).cast("double")
+    text = F.coalesce(*textual) if textual else F.lit(None).cast("string")
+    rows = df.select(
+        F.col(id_col).cast("long").alias("id_fila"),
+        F.col(name_col).cast("string").alias("_nombre"),
+        (F.col(section_col).cast("string") if section_col else F.lit("")).alias("_seccion"),
+        F.when(typed.isNull(), text).alias("_texto"),
+        typed.alias("_tipado"),
+        F.col(unit_col).cast("string").alias("_unidad"),
+        (F.lit(None).cast("string") if source_default is None else source_default).alias("_defecto"),
     )
-    rest = F.when(scientific.isNotNull(), F.lit("")).otherwise(F.regexp_extract("_valor", _NUMBER, 2))
-    rows = (
-        df.select(
-            F.col(id_col).cast("long").alias("id_fila"),
-            F.col(name_col).cast("string").alias("_nombre"),
-            *([] if section_col is None else [section_key(F.col(section_col)).alias("seccion_key")]),
-            value.alias("_valor"),
-            F.col(unit_col).cast("string").alias("_unidad"),
-            *{c: F.col(c) for c in value_cols if dict(df.dtypes)[c] in ("double", "float")}.values(),
-            *([] if source_default is None else [source_default.alias("_defecto")]),
-        )
-        .distinct()
-        .withColumn("_numero", F.regexp_extract("_valor", _NUMBER, 1))
-        .withColumn("valor", number)
-        .withColumn("_u1", F.nullif(unit_key(F.col("_unidad")), F.lit("")))
-        .withColumn("_u2", F.nullif(unit_key(F.regexp_replace(rest, r"^(?i:en)\s+", "")), F.lit("")))
-        .withColumn("_u3", unit_key(name_tail(F.col("_nombre"))))
+    # digits and marks alone are a number; everything else goes through the pattern
+    bare = F.translate("_texto", "0123456789.,", "") == ""
+    as_number = lambda c: F.translate(c, ",−", ".-").try_cast("double")
+    tail = F.regexp_replace(F.regexp_extract("_texto", _NUMBER, 2), r"^(?i:en)\s+", "")
+    rows = rows.withColumn(
+        "valor",
+        F.coalesce(
+            "_tipado",
+            F.when(bare, as_number(F.col("_texto"))).otherwise(as_number(F.regexp_extract("_texto", _NUMBER, 1))),
+        ),
+    ).withColumn("_cola", F.when(~bare, F.nullif(tail, F.lit(""))))
+
+    spelled = rows.select("_nombre", "_seccion").distinct()
+    spelled = (
+        spelled.withColumn("seccion_key", section_key(F.col("_seccion")) if section_col else F.lit(""))
         .withColumn("_k", name_key(F.col("_nombre")))
         .withColumn("_kb", name_key(name_base(F.col("_nombre"))))
+        .withColumn("_u3", unit_key(name_tail(F.col("_nombre"))))
     )
     names = bounded(analyte_names(ref.where(F.col("ambito") == scope)))
-    by = ["seccion_key"] if section_col is not None else []
-    full = names.select(*by, F.col("nombre_key").alias("_k"), F.col("codigo").alias("_c1"))
-    base = names.select(*by, F.col("nombre_key").alias("_kb"), F.col("codigo").alias("_c2"))
-    rows = rows.join(full, [*by, "_k"], "left").join(base, [*by, "_kb"], "left")
-    rows = rows.withColumn("codigo", F.coalesce("_c1", "_c2"))
-    named = F.when(F.col("_c1").isNull(), F.col("_u3"))  # a whole known name holds no unit
-    default = unit_key(F.col("_defecto")) if source_default is not None else F.lit(None).cast("string")
-    rows = rows.withColumn("unidad_hallada", F.coalesce("_u1", "_u2", named, default))
-    factors = bounded(unit_factors(ref.where(F.col("ambito") == scope))).withColumnRenamed("unidad_key", "unidad_hallada")
+    if not section_col:
+        names = names.withColumn("seccion_key", F.lit(""))
+    full = names.select("seccion_key", F.col("nombre_key").alias("_k"), F.col("codigo").alias("_c1"))
+    base = names.select("seccion_key", F.col("nombre_key").alias("_kb"), F.col("codigo").alias("_c2"))
+    spelled = spelled.join(full, ["seccion_key", "_k"], "left").join(base, ["seccion_key", "_kb"], "left")
+    spelled = spelled.select(
+        "_nombre",
+        "_seccion",
+        F.coalesce("_c1", "_c2").alias("codigo"),
+        F.when(F.col("_c1").isNull(), F.col("_u3")).alias("_u3"),  # a whole known name holds no unit
+    )
+    units = rows.select("_unidad").distinct().withColumn("_u1", F.nullif(unit_key(F.col("_unidad")), F.lit("")))
+    rows = rows.join(lookup(spelled), ["_nombre", "_seccion"], "left").join(lookup(units), "_unidad", "left")
+    rows = rows.withColumn(
+        "unidad_hallada",
+        F.coalesce("_u1", F.when(F.col("_cola").isNotNull(), unit_key(F.col("_cola"))), "_u3", unit_key(F.col("_defecto"))),
+    )
+    factors = lookup(unit_factors(ref.where(F.col("ambito") == scope))).withColumnRenamed("unidad_key", "unidad_hallada")
     return rows.join(factors, ["codigo", "unidad_hallada"], "left").select(
         "id_fila",
         "codigo",

@@ -55,6 +55,12 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def lookup(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Like ``bounded`` for a table derived from a large one: the derivation runs
+    once, its (small) result is kept for the count and for the broadcast."""
+    return bounded(df.persist(), rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables (a file or a folder of that name)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
