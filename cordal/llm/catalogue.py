@@ -9,10 +9,24 @@ from pyspark.sql import functions as F
 
 from cordal.llm.leakage import leaked_items
 from cordal.llm.mojibake import garbled
+from cordal.llm.names import linked_pairs, physician_classes
 from cordal.llm.nearest_time import ecg_with_laboratory
+from cordal.llm.personal_data import protected_texts
 from cordal.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of spellings of one physician, the smaller id first."""
+    return linked_pairs(physician_classes(table(spark, sf_dir, "firma_medico")))
+
+
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per spelling: its class and the number of spellings of that class."""
+    classes = physician_classes(table(spark, sf_dir, "firma_medico"))
+    sizes = classes.groupBy("persona").agg(F.count("*").alias("grafias"))
+    return classes.join(sizes, "persona").select(F.col("id").alias("id_medico"), "persona", "grafias")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each ECG with its nearest laboratory study, the smaller id first."""
     pairs = ecg_with_laboratory(table(spark, sf_dir, "medicion_ecg"), table(spark, sf_dir, "estudio"))
@@ -20,6 +34,27 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(both[0].alias("id_estudio_a"), both[1].alias("id_estudio_b")).distinct()
 
 
+#: Test key only: a production key comes from the caller's secret store.
+_TEST_KEY = b"test key, not a secret"
+
+
+def _protected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return protected_texts(table(spark, sf_dir, "texto_seccion_eco"), "id_seccion", "texto", _TEST_KEY)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per personal datum of the echo texts."""
+    rows = _protected(spark, sf_dir).select(F.col("id").alias("id_seccion"), F.explode("datos").alias("d"))
+    return rows.select("id_seccion", "d.inicio", "d.fin", "d.tipo_entidad").distinct()
+
+
+def p6_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The echo texts with placeholders and format-preserving pseudonyms."""
+    return _protected(spark, sf_dir).select(
+        F.col("id").alias("id_seccion"), "texto_seguro", F.size("datos").alias("n_datos")
+    )
+
+
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "evaluacion"))
 
@@ -45,7 +80,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p7_found, p7_stretches, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_classes, p3_found, p6_found, p6_protected, p7_found, p7_stretches, p9_found, p9_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
