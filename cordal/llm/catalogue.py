@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordal.llm.leakage import leaked_items
+from cordal.llm.mixture import in_order, schedule, share_report
 from cordal.llm.mojibake import garbled
 from cordal.llm.names import linked_pairs, physician_classes
 from cordal.llm.nearest_time import ecg_with_laboratory
@@ -69,6 +70,17 @@ def p7_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _leaks(spark, sf_dir)
 
 
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of the mix with their deadlines, in the order of the mix."""
+    blocks = schedule(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mezcla_objetivo"))
+    return in_order(blocks).select("doc_id", "fuente", "repeticion", "tokens", F.round("vence", 3).alias("vence"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of every source of the mix."""
+    return share_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mezcla_objetivo"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents decoded with a wrong encoding, with the MD5 of the restored text."""
     return garbled(table(spark, sf_dir, "documents")).select("doc_id", "md5_texto")
@@ -80,7 +92,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_classes, p3_found, p6_found, p6_protected, p7_found, p7_stretches, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_classes, p3_found, p6_found, p6_protected, p7_found, p7_stretches, p8_mix, p8_shares, p9_found, p9_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
