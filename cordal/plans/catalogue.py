@@ -1,19 +1,17 @@
-"""Queries over the driver's tables and their DuckDB counterparts."""
+"""All queries of the core and their DuckDB counterparts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from cordal.plans import linking, runs, texts
+from cordal.plans.linking import episodes_per_patient  # noqa: F401  (flagship of the entry point)
+from cordal.plans.registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
+_PARTS = [linking.registry, texts.registry, runs.registry]
 
 
-def episodes_per_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {name: f for part in _PARTS for name, f in part.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in _PARTS for name, sql in part.sql.items()}
