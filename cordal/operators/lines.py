@@ -85,8 +85,8 @@ def axes_near_label(lines: Column, at: Column) -> Column:
 
     back = F.reverse(run(F.reverse(F.slice(lines, F.lit(1), at))))
     ahead = run(F.slice(lines, at + 2, F.size(lines)))
-    chosen = F.when(F.size(back) >= 2, back).when(F.size(ahead) >= 2, ahead)
-    return F.slice(chosen, 1, 3)
+    chosen = F.when(F.size(back) > 0, back).otherwise(ahead)
+    return F.when(F.size(chosen) >= 2, F.slice(chosen, 1, 3))
 
 
 def consistent_header(pages: DataFrame, doc: str, page: str, number: str) -> DataFrame:
