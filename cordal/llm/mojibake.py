@@ -68,10 +68,11 @@ _WEIGHTS = [
 _WEIGHT = {c: w * math.log(10) for w, cs in _WEIGHTS for c in cs}
 _RARE = -7.0 * math.log(10)
 _ODD = -3.0 * math.log(10)
+_STRANGE = -4.0 * math.log(10)
 _ENTER = -3.5 * math.log(10)
 _CHANGE = -4.5 * math.log(10)
 _LEAVE = -0.7 * math.log(10)
-_LOST = -4.0 * math.log(10)
+_LOST = -2.0 * math.log(10)
 _NOTHING = -1e9
 _USUAL = -2.5 * math.log(10)
 
@@ -127,8 +128,8 @@ def plausible(char: str, left: str, right: str) -> float:
     if char.isalpha() and char not in "ºªµ":
         if not (a or b):
             score += _ODD
-        elif char.isupper() and left == "l":
-            score += _ODD
+        elif char.isupper() and left == "l" or char in "ÃÂ" and left not in "lu" and right == "l":
+            score += _STRANGE
         elif char.islower() and left == "u" and right == "u":
             score += _ODD
     elif char in "¿¡“‘«":
@@ -148,7 +149,7 @@ def plausible(char: str, left: str, right: str) -> float:
 @lru_cache(maxsize=400_000)
 def _unit(run: str, pair: int, left: str, right: str) -> tuple[float, str] | None:
     original = undo(run, pair)
-    if original is None or len(original) != 1 or original == run or original < "\x80":
+    if original is None or len(original) != 1 or original < "\x80":
         return None
     return plausible(original, left, right), original
 
@@ -212,13 +213,14 @@ def label(text: str) -> list[tuple[int, int, int, str | None]]:
                 found = _unit(text[i : i + size], s - 1, kind(i - 1), kind(i + size))
                 if found and base + found[0] > best[k + size][s]:
                     best[k + size][s], back[k + size][s] = base + found[0], (k, source, found[1])
-            if text[i] in _leads(s - 1) and base + _LOST > best[k + 1][s]:
+            beside = kind(i - 1) in "lu" or kind(i + 1) in "lu"
+            if beside and text[i] in _leads(s - 1) and base + _LOST > best[k + 1][s]:
                 best[k + 1][s], back[k + 1][s] = base + _LOST, (k, source, None)
     out = []
     k, s = n, max(states, key=best[n].__getitem__)
     while k > 0:
         before, source, original = back[k][s]
-        if s:
+        if s and original != text[at[before] : at[k - 1] + 1]:  # the same in both encodings: nothing to undo
             out.append((at[before], at[k - 1] + 1, s - 1, original))
         k, s = before, source
     return out[::-1]
