@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -223,14 +224,16 @@ def _plausible(samples: np.ndarray, strip: np.ndarray) -> bool:
 def with_signal(df: DataFrame, strokes: str) -> DataFrame:
     """``df`` with ``senal`` (samples and mask) of its strokes; null parts where they do not fit."""
 
-    def rebuilt(column: pd.Series) -> pd.DataFrame:
+    kind = pa.struct([("muestras", pa.list_(pa.list_(pa.int16()))), ("mascara", pa.list_(pa.list_(pa.bool_())))])
+
+    def rebuilt(column: pa.Array) -> pa.Array:
         rows = []
-        for s in column:
+        for s in column.to_pylist():  # strokes are ragged: no NumPy view of a column exists
             found = rebuild_signal(s) if s is not None else None
-            rows.append((None, None) if found is None else (found[0].tolist(), found[1].tolist()))
-        return pd.DataFrame(rows, columns=["muestras", "mascara"])
+            rows.append({"muestras": None, "mascara": None} if found is None else {"muestras": found[0].tolist(), "mascara": found[1].tolist()})
+        return pa.array(rows, kind)
 
-    return df.withColumn("senal", F.pandas_udf(rebuilt, SIGNAL, F.PandasUDFType.SCALAR)(strokes))
+    return df.withColumn("senal", F.arrow_udf(rebuilt, SIGNAL)(strokes))
 
 
 def encode_samples(samples) -> bytes:
