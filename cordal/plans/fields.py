@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordal.operators.packed_fields import clinical_packed_values
-from cordal.operators.units import clinical_common_units, differing_units, thousandths
+from cordal.operators.units import CHARGES, UNITS, clinical_common_units, differing_units, thousandths
 from cordal.operators.wide import filled_numeric_cells, laboratory_wide
 from cordal.session import table
 
@@ -52,5 +52,78 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p2_found, p4_found, p4_all, p5_found, p5_wide)}
 
 
+#: Keys of names, sections and units as DuckDB SQL, written apart from the operators.
+_PLAIN = "trim(regexp_replace(lower(strip_accents({c})), '\\s+', ' ', 'g'))"
+
+
+def _plain(c: str) -> str:
+    return _PLAIN.format(c=c)
+
+
+def _name(c: str) -> str:
+    return f"regexp_replace(regexp_replace({_plain(c)}, '^[-*•\\s]+', ''), '[\\s.:]+$', '')"
+
+
+def _section(c: str) -> str:
+    key = f"regexp_replace(regexp_replace({_plain(c)}, '^[-\\s]+', ''), '[-\\s:.]+$', '')"
+    long = "WHEN 'ionograma serico' THEN 'ionograma' WHEN 'hemostasia y coagulacion' THEN 'hemostasia' WHEN 'orina completa' THEN 'orina'"
+    return f"CASE {key} {long} ELSE {key} END"
+
+
+def _unit(c: str) -> str:
+    key = f"strip_accents(lower(translate({c}, 'µμ³²', 'uu32')))"
+    for pattern, new in (("\\s+", ""), ("^[(\\[]+", ""), ("[)\\]]+$", ""), ("\\.+$", ""), ("^x?10(?:\\*|e|\\^)([0-9]+)", "10^\\1"), ("^mc(g|mol|kat|l|m)", "u\\1")):
+        key = f"regexp_replace({key}, '{pattern}', '{new}', 'g')"
+    return key
+
+
+_TAIL = "'^(.*\\S)\\s*(?:\\[([^\\[\\]]+)\\]|\\(([^()]+)\\)|\\sen\\s+(\\S.*?))[\\s.:]*$'"
+_ALIAS = ", ".join(f"('{key}', '{quantity}', {factor!r}::DOUBLE)" for quantity, factor, keys in UNITS for key in keys.split())
+_CHARGE = "CASE codigo " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CHARGES.items()) + " ELSE 1 END"
+_NAMES = f"""a(unidad, magnitud, base) AS (VALUES {_ALIAS}),
+r AS (SELECT codigo, ambito, coalesce({_section('seccion')}, '') AS sec, {_unit('unidad_comun')} AS comun, masa_molar / 10 AS m, unnest(list_prepend(nombre, coalesce(sinonimos, []))) AS n FROM analito_ref),
+nombres AS (SELECT DISTINCT codigo, ambito, sec, {_name('n')} AS k FROM r),
+c AS (SELECT DISTINCT codigo, m, a.magnitud AS mag, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END AS cb
+  FROM r JOIN a ON r.comun = a.unidad WHERE a.magnitud <> 'hormone activity' OR codigo = 'TSH'),
+f AS (SELECT DISTINCT codigo, a.unidad, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END / cb AS factor
+  FROM c JOIN a ON CASE WHEN a.magnitud IN ('mole', 'charge') THEN 'mass' ELSE a.magnitud END = CASE WHEN mag IN ('mole', 'charge') THEN 'mass' ELSE mag END)"""
+_ROWS = f"""filas AS (
+  SELECT 'laboratorio_crudo' AS tabla, id_fila, prueba AS nom, seccion AS s, resultado AS t, CAST(NULL AS DOUBLE) AS d, unidades AS u, 'laboratorio' AS amb FROM laboratorio_crudo
+  UNION ALL SELECT 'resultado_laboratorio', id_resultado, analito, seccion, valor_texto, valor_num, unidad, 'laboratorio' FROM resultado_laboratorio
+  UNION ALL SELECT 'medida_eco', id_medida, nombre, '', valor, NULL, unidad, 'eco' FROM medida_eco),
+p AS (SELECT *, regexp_extract(t, '^\\s*([-+]?[0-9]+(?:[.,][0-9]+)?)\\s*(.*?)\\s*$', ['n', 'c']) AS g, regexp_extract(nom, {_TAIL}, ['b', 'x', 'y', 'z']) AS q FROM filas),
+v AS (SELECT *, coalesce(d, TRY_CAST(replace(g.n, ',', '.') AS DOUBLE)) AS valor, CASE WHEN d IS NULL THEN regexp_replace(g.c, '^(?i:en)\\s+', '') END AS cola,
+  coalesce({_section('s')}, CASE WHEN s = '' THEN '' END) AS sec, {_name('nom')} AS k1, {_name('q.b')} AS k2 FROM p),
+w AS (SELECT v.*, coalesce(n1.codigo, n2.codigo) AS codigo, coalesce(nullif({_unit('u')}, ''), nullif({_unit('cola')}, ''),
+  CASE WHEN n1.codigo IS NULL THEN nullif({_unit("q.x || q.y || q.z")}, '') END) AS unidad_hallada
+  FROM v LEFT JOIN nombres n1 ON n1.ambito = amb AND n1.sec = v.sec AND n1.k = k1 LEFT JOIN nombres n2 ON n2.ambito = amb AND n2.sec = v.sec AND n2.k = k2)"""
+_MIL = "CAST(round_even(round(valor * factor * 1000, 6), 0) AS BIGINT)"
+
+_P5 = f"""WITH {_NAMES}, v AS (SELECT id_estudio, id_resultado, {_section('seccion')} AS sec, {_name('analito')} AS k1, {_name(f"regexp_extract(analito, {_TAIL}, 1)")} AS k2
+  FROM resultado_laboratorio WHERE valor_num IS NOT NULL AND id_estudio IS NOT NULL)
+SELECT id_estudio, coalesce(n1.codigo, n2.codigo) AS codigo, max(id_resultado) AS id_resultado FROM v
+LEFT JOIN nombres n1 ON n1.ambito = 'laboratorio' AND n1.sec = v.sec AND n1.k = k1 LEFT JOIN nombres n2 ON n2.ambito = 'laboratorio' AND n2.sec = v.sec AND n2.k = k2
+WHERE coalesce(n1.codigo, n2.codigo) IS NOT NULL GROUP BY 1, 2"""
+
+_INTEGERS = """SELECT DISTINCT '{campo}' AS campo, CAST(id_estudio AS BIGINT) AS id_fila, {campo} AS t FROM medicion_ecg WHERE regexp_matches({campo}, '[0-9][^0-9]+[0-9]')"""
+_P2 = f"""WITH e AS ({_INTEGERS.format(campo='qt_qtc')} UNION ALL {_INTEGERS.format(campo='ejes')}),
+n AS (SELECT *, regexp_replace(regexp_replace(t, '["''()]', '', 'g'), '(?i)n/d|s/d|n/a', 'x', 'g') AS b FROM e),
+q AS (SELECT *, list_filter(['/', ';', '|', chr(9), chr(10), chr(92), '⁄', ','], lambda d: contains(b, d))[1] AS d FROM n),
+s AS (SELECT *, CASE WHEN d IS NOT NULL THEN string_split(b, d) ELSE list_filter(regexp_extract_all(regexp_replace(b, '([0-9])\\s*-\\s+|([0-9])-([0-9])', '\\1\\2 \\3', 'g'), '[-−]?[0-9]+'), lambda x: true) END AS k FROM q),
+x AS (SELECT campo, id_fila, unnest(k) AS v, generate_subscripts(k, 1) AS posicion, len(list_filter(k, lambda y: regexp_matches(y, '[0-9]'))) AS c FROM s),
+i AS (SELECT campo, id_fila, CAST(posicion AS INTEGER) AS posicion, replace(regexp_extract(v, '[-−]?[0-9]+'), '−', '-') AS valor FROM x WHERE c > 1 AND regexp_matches(v, '[0-9]')),
+l AS (SELECT DISTINCT id_fila, trim(valores_referencia, ' ') AS t FROM laboratorio_crudo WHERE valores_referencia IS NOT NULL),
+lq AS (SELECT id_fila, list_transform(regexp_extract_all(t, '"((?:[^"]|"")*)"', 1), lambda z: replace(z, '""', '"')) AS k FROM l WHERE regexp_matches(t, '^"([^"]|"")*"(\\s*[;,]\\s*"([^"]|"")*")+$')),
+lu AS (SELECT id_fila, string_split(replace(t, chr(13), ''), list_filter([chr(10), chr(9), '|', ';', '/'], lambda d: contains(t, d))[1]) AS k FROM l
+  WHERE NOT starts_with(t, '"') AND regexp_matches(t, '[|;/\\t\\n]') AND NOT regexp_matches(t, '/mm3|[(]H/M[)]')),
+lk AS (SELECT * FROM lq UNION ALL SELECT * FROM lu),
+lx AS (SELECT id_fila, unnest(k) AS v, generate_subscripts(k, 1) AS posicion, len(list_filter(k, lambda y: regexp_matches(y, '[0-9]'))) AS c FROM lk)
+SELECT * FROM i UNION ALL SELECT 'valores_referencia', id_fila, CAST(posicion AS INTEGER), trim(v) FROM lx WHERE c > 1 AND regexp_matches(v, '[0-9]')"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p2_found": _P2,
+        "p4_found": f"WITH {_NAMES}, {_ROWS} SELECT DISTINCT tabla, id_fila, {_MIL} AS valor_mil FROM w JOIN f ON f.codigo = w.codigo AND f.unidad = w.unidad_hallada WHERE valor IS NOT NULL AND abs(factor - 1) > 1e-9",
+        "p5_found": _P5,
+    }
