@@ -95,5 +95,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_classes, p3_found, p6_found, p6_protected, p7_found, p7_stretches, p8_mix, p8_shares, p9_found, p9_restored)}
 
 
+def _seconds(alias: str) -> str:
+    """Seconds since 1970 of a date and a typed hour, as DuckDB SQL."""
+    parts = f"regexp_extract({alias}.hora_estudio, '(?i)^\\s*([0-9]{{1,2}})[:.h]([0-9]{{2}})(?::([0-9]{{2}}))?\\s*(?:hs)?\\s*([ap])?', ['h', 'm', 's', 'x'])"
+    hour = f"CAST({parts}.h AS INTEGER)"
+    half = f"CASE WHEN lower({parts}.x) = 'p' AND {hour} < 12 THEN 12 WHEN lower({parts}.x) = 'a' AND {hour} = 12 THEN -12 ELSE 0 END"
+    clock = f"({hour} + {half}) * 3600 + CAST({parts}.m AS INTEGER) * 60 + coalesce(TRY_CAST({parts}.s AS INTEGER), 0)"
+    return f"date_diff('day', DATE '1970-01-01', CAST({alias}.fecha_estudio AS DATE)) * 86400 + {clock}"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    known = "{a}.id_paciente IS NOT NULL AND {a}.hora_estudio IS NOT NULL AND {a}.fecha_estudio IS NOT NULL"
+    return {
+        "p3_found": f"""WITH e AS (SELECT DISTINCT id_estudio, id_paciente, {_seconds('m')} AS t FROM medicion_ecg m WHERE {known.format(a='m')}),
+l AS (SELECT DISTINCT id_estudio, id_paciente, {_seconds('m')} AS t FROM estudio m WHERE tipo_documento = 'laboratorio' AND {known.format(a='m')}),
+p AS (SELECT e.id_estudio AS a, l.id_estudio AS b, row_number() OVER (PARTITION BY e.id_estudio, e.t ORDER BY abs(e.t - l.t), l.t, l.id_estudio) AS k
+  FROM e JOIN l ON e.id_paciente = l.id_paciente AND abs(e.t - l.t) <= 5400)
+SELECT DISTINCT least(a, b) AS id_estudio_a, greatest(a, b) AS id_estudio_b FROM p WHERE k = 1"""
+    }
