@@ -107,3 +107,34 @@ def export(tables: dict[str, DataFrame], whitelist: dict[str, list[str]], folder
             out.write(text)
         os.replace(temporary, os.path.join(folder, "manifest.json"))
     return manifest
+
+
+def backfill(target: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
+    """``target`` with nulls of ``column`` filled from ``source``."""
+    found = source.groupBy(key).agg(F.min(column).alias("_fill"))
+    return target.join(found, key, "left").withColumn(column, F.coalesce(column, "_fill")).drop("_fill")
+
+
+def payload(name: str, *columns: Column) -> Column:
+    """Columns as one JSON payload, nulls kept."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias(name)
+
+
+def jdbc_options(url: str, table: str, partition: str | None = None, bounds: tuple[int, int, int] | None = None) -> dict[str, str]:
+    """Options of a partitioned relational read or a batched write."""
+    options = {
+        "url": url, "dbtable": table, "batchsize": "1000", "fetchsize": "1000", "queryTimeout": "300",
+        "isolationLevel": "READ_COMMITTED", "connectTimeout": "5",
+    }
+    if partition and bounds:
+        low, high, count = bounds
+        options |= {"partitionColumn": partition, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(count)}
+    return options
+
+
+def ensure_table(df: DataFrame, name: str, partition: list[str] | None = None) -> None:
+    """Create an empty table of this schema if there is none; never touches an existing one."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        writer = df.limit(0).write.format("parquet")
+        (writer.partitionBy(*partition) if partition else writer).saveAsTable(name)

@@ -85,8 +85,9 @@ r AS (SELECT codigo, ambito, coalesce({_section('seccion')}, '') AS sec, {_unit(
 nombres AS (SELECT DISTINCT codigo, ambito, sec, {_name('n')} AS k FROM r),
 c AS (SELECT DISTINCT codigo, m, a.magnitud AS mag, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END AS cb
   FROM r JOIN a ON r.comun = a.unidad WHERE a.magnitud <> 'hormone activity' OR codigo = 'TSH'),
-f AS (SELECT DISTINCT codigo, a.unidad, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END / cb AS factor
-  FROM c JOIN a ON CASE WHEN a.magnitud IN ('mole', 'charge') THEN 'mass' ELSE a.magnitud END = CASE WHEN mag IN ('mole', 'charge') THEN 'mass' ELSE mag END)"""
+f0 AS (SELECT DISTINCT codigo, a.unidad, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END / cb AS factor
+  FROM c JOIN a ON CASE WHEN a.magnitud IN ('mole', 'charge') THEN 'mass' ELSE a.magnitud END = CASE WHEN mag IN ('mole', 'charge') THEN 'mass' ELSE mag END),
+f AS (SELECT * FROM f0 WHERE factor IS NOT NULL)"""
 _ROWS = f"""filas AS (
   SELECT 'laboratorio_crudo' AS tabla, id_fila, prueba AS nom, seccion AS s, resultado AS t, CAST(NULL AS DOUBLE) AS d, unidades AS u, 'laboratorio' AS amb FROM laboratorio_crudo
   UNION ALL SELECT 'resultado_laboratorio', id_resultado, analito, seccion, valor_texto, valor_num, unidad, 'laboratorio' FROM resultado_laboratorio
@@ -125,5 +126,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _P2,
         "p4_found": f"WITH {_NAMES}, {_ROWS} SELECT DISTINCT tabla, id_fila, {_MIL} AS valor_mil FROM w JOIN f ON f.codigo = w.codigo AND f.unidad = w.unidad_hallada WHERE valor IS NOT NULL AND abs(factor - 1) > 1e-9",
+        "p4_all": f"WITH {_NAMES}, {_ROWS} SELECT tabla, id_fila, w.codigo, unidad_hallada, {_MIL} AS valor_mil FROM w LEFT JOIN f ON f.codigo = w.codigo AND f.unidad = w.unidad_hallada",
         "p5_found": _P5,
     }
