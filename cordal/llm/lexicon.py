@@ -18,15 +18,15 @@ Sergio Silvia Sofía Soledad Susana Teresa Tomás Valeria Verónica Victoria Viv
 
 #: Short forms by full name.
 NICKNAMES = {
-    "Alejandra": "Ale", "Alejandro": "Ale", "Beatriz": "Betty Bea", "Francisco": "Pancho Fco Paco", "Gabriela": "Gaby",
-    "Gabriel": "Gabi", "Mercedes": "Mecha Merceditas", "Ignacio": "Nacho", "Graciela": "Chela", "Rosario": "Charo",
+    "Alejandra": "Ale", "Alejandro": "Ale Jano", "Beatriz": "Betty Bea", "Francisco": "Pancho Fco Paco", "Gabriela": "Gaby",
+    "Gabriel": "Gabi Gaby", "Mercedes": "Mecha Merceditas", "Ignacio": "Nacho", "Graciela": "Chela", "Rosario": "Charo",
     "Guadalupe": "Gpe Lupe Guada", "Ezequiel": "Eze", "Santiago": "Santi", "Nicolás": "Nico", "Joaquín": "Joaco",
     "Alberto": "Beto Tito", "Roberto": "Beto Tito", "Florencia": "Flor Flo", "Maximiliano": "Maxi", "Paula": "Pau",
     "Isabel": "Isa Chabela", "Facundo": "Facu", "Federico": "Fede", "Guillermo": "Guille Willy Memo", "Manuel": "Manolo Manu",
     "José": "Pepe", "Josefina": "Pepa Jose", "Dolores": "Lola", "Concepción": "Concha Conchita", "Rafael": "Rafa",
     "Sebastián": "Seba", "Susana": "Susi", "Teresa": "Tere", "Victoria": "Vicky", "Carolina": "Caro", "María": "Mª Ma",
     "Eduardo": "Edu Lalo", "Enrique": "Quique", "Cecilia": "Ceci", "Julieta": "Juli", "Luciana": "Lu Luli",
-    "Verónica": "Vero", "Patricia": "Pato Patri", "Ricardo": "Richard Ricky", "Mauricio": "Mauri", "Soledad": "Sole",
+    "Verónica": "Vero", "Patricia": "Pato Patri", "Ricardo": "Richard Ricky Cacho", "Mauricio": "Mauri", "Soledad": "Sole",
     "Rocío": "Ro", "Pilar": "Pili", "Antonio": "Tony Toni Toño", "Antonia": "Toñi Anto", "Mariano": "Nano", "Ramón": "Moncho",
     "Gonzalo": "Gonza", "Luis": "Lucho", "Juan": "Juancho", "Martín": "Tincho", "Adolfo": "Fito", "Leandro": "Lean",
     "Zulema": "Zule", "Ximena": "Xime", "Claudia": "Clau", "Silvia": "Silvi", "Andrea": "Andre", "Marta": "Martita Marita",
