@@ -159,3 +159,22 @@ def national_id_valid(text: Column) -> Column:
     """6 to 8 digits between 100,000 and 99,999,999 (P20)."""
     digits = F.translate(text, ".", "")
     return digits.rlike("^[0-9]{6,8}$") & digits.try_cast("long").between(100_000, 99_999_999)
+
+
+def literal_prefix(pattern: str) -> str:
+    """The text every match of a simple pattern begins with, up to its first metacharacter.
+
+    Runs on the driver: patterns are code, not data.
+    """
+    out, i = [], 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern) and not pattern[i + 1].isalnum():
+            c, i = pattern[i + 1], i + 1
+        elif c in ".^$*+?{}[]()|\\":
+            break
+        if i + 1 < len(pattern) and pattern[i + 1] in "*?{":
+            break
+        out.append(c)
+        i += 1
+    return "".join(out)

@@ -41,7 +41,7 @@ def text_pages(spark: SparkSession, path: str) -> DataFrame:
     marks = F.regexp_extract_all(body, F.lit(_PAGE.replace(r"\r?", "")), F.lit(2))
     blocks = F.slice(F.split(body, _PAGE.replace(r"\r?", "")), 2, 1_000_000)
     paired = F.arrays_zip(marks.alias("orden"), blocks.alias("texto"))
-    pick = lambda order: F.transform(F.filter(F.col("p"), lambda x: x["orden"] == order), lambda x: F.rtrim(x["texto"]))
+    pick = lambda order: F.transform(F.filter(F.col("p"), lambda x: x["orden"] == order), lambda x: F.regexp_replace(x["texto"], r"\s+$", ""))
     return raw.withColumn("p", paired).select(
         "documento", pick("de dibujado").alias("paginas"), pick("geometrico").alias("paginas_orden")
     )
@@ -53,3 +53,23 @@ def readable(pages: DataFrame, column: str = "paginas") -> DataFrame:
     return pages.withColumn(
         "codigo", F.when(F.size(column) == 0, "pdf_ilegible").when(F.trim(text) == "", "sin_capa_de_texto")
     )
+
+
+def formatted_pages(pages: DataFrame, key: str = "documento", note: str = "") -> DataFrame:
+    """(key, value): documents in the text-page format that ``text_pages`` reads."""
+
+    def blocks(column: str, order: str):
+        return F.transform(
+            column, lambda t, i: F.concat(F.lit("## pagina "), (i + 1).cast("string"), F.lit(f" (orden {order})\n"), t, F.lit("\n"))
+        )
+
+    body = F.array_join(F.concat(blocks("paginas", "de dibujado"), blocks("paginas_orden", "geometrico")), "")
+    return pages.select(key, F.concat(F.lit(f"# {note}\n" if note else ""), body).alias("value"))
+
+
+def drawn_traces(pages: DataFrame, kind: str, drawings: str) -> DataFrame:
+    """``pages`` with ``trazos``: strokes are taken from ECG documents only."""
+    from cordal.operators.signals import STROKES, usable_strokes
+
+    empty = F.lit(None).cast(STROKES)
+    return pages.withColumn("trazos", F.when(F.col(kind) == "ecg", usable_strokes(F.col(drawings))).otherwise(empty))
