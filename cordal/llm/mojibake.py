@@ -73,6 +73,7 @@ _ENTER = -3.5 * math.log(10)
 _CHANGE = -4.5 * math.log(10)
 _LEAVE = -0.7 * math.log(10)
 _LOST = -2.0 * math.log(10)
+_KEPT = -7.0 * math.log(10)
 _NOTHING = -1e9
 _USUAL = -2.5 * math.log(10)
 
@@ -133,14 +134,16 @@ def plausible(char: str, left: str, right: str) -> float:
         elif char.islower() and left == "u" and right == "u":
             score += _ODD
     elif char in "¿¡“‘«":
-        if a or not (b or right == "d" or right == "p"):
+        if a and b:
+            score += _STRANGE
+        elif a or not (b or right == "d" or right == "p"):
             score += _ODD
     elif char == "­" or char == "​":
         score += 0.0 if a and b else _ODD
     elif char == "’" or char == "‘":
         pass
     elif a and b:
-        score += _ODD
+        score += _STRANGE
     elif char in "°²³ºª" and right == "l":
         score += _ODD
     return score
@@ -163,6 +166,17 @@ def _leads(pair: int) -> frozenset[str]:
     return frozenset(bytes([b]).decode(wrong, "ignore") for b in (0xC2, 0xC3)) - {""}
 
 
+def _loss(text: str, i: int) -> float:
+    """Log weight of a lead character whose continuation was lost at ``i``."""
+    left, after = _kind(text[i - 1]) if i else "s", text[i + 1 : i + 2]
+    right = _kind(after)
+    if left not in "lu" and right not in "lu":
+        return _NOTHING
+    if text[i] == "Ã" and left == "u" and (after in ("O", "E") or right not in "lu"):
+        return _KEPT  # Portuguese capitals end so
+    return _LOST
+
+
 def label(text: str) -> list[tuple[int, int, int, str | None]]:
     """Units not labelled clean: (start, end, pair, restored character or None if lost)."""
     at = [m.start() for m in _FOREIGN.finditer(text)]
@@ -213,9 +227,8 @@ def label(text: str) -> list[tuple[int, int, int, str | None]]:
                 found = _unit(text[i : i + size], s - 1, kind(i - 1), kind(i + size))
                 if found and base + found[0] > best[k + size][s]:
                     best[k + size][s], back[k + size][s] = base + found[0], (k, source, found[1])
-            beside = kind(i - 1) in "lu" or kind(i + 1) in "lu"
-            if beside and text[i] in _leads(s - 1) and base + _LOST > best[k + 1][s]:
-                best[k + 1][s], back[k + 1][s] = base + _LOST, (k, source, None)
+            if text[i] in _leads(s - 1) and (lost := base + _loss(text, i)) > best[k + 1][s]:
+                best[k + 1][s], back[k + 1][s] = lost, (k, source, None)
     out = []
     k, s = n, max(states, key=best[n].__getitem__)
     while k > 0:
