@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cordal.operators.ordered import running_sum, with_previous
+
 MAX_BYTES = 50 * 1024 * 1024
 ROOT_GROUP = "__raiz__"
 
@@ -30,12 +31,15 @@ def incomplete_groups(deduped: DataFrame, group: str) -> DataFrame:
     )
 
 
-def adjacent_groups(df: DataFrame, partition: str, order: list[str], value: str) -> DataFrame:
-    """Run lengths: ``tramo`` numbers the runs of equal neighbouring values."""
-    w = W.partitionBy(partition).orderBy(*order)
-    change = F.coalesce((~F.col(value).eqNullSafe(F.lag(value).over(w))).cast("int"), F.lit(0))
-    first = F.when(F.row_number().over(w) == 1, 0).otherwise(change)
-    return df.withColumn("_c", first).withColumn("tramo", F.sum("_c").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_c")
+def adjacent_groups(df: DataFrame, partition: str, order: list[str], value: str, slot: Column | None = None) -> DataFrame:
+    """Run lengths: ``tramo`` numbers the runs of equal neighbouring values.
+
+    ``slot`` never falls in ``order``; it spreads a large partition (see ``ordered``).
+    """
+    rows = with_previous(df, partition, order, value, F.lit(0) if slot is None else slot, "_antes")
+    change = (~F.col("_primera") & ~F.col(value).eqNullSafe(F.col("_antes"))).cast("long")
+    out = running_sum(rows.withColumn("_cambio", change), partition, order, "_cambio", "tramo")
+    return out.drop("_antes", "_primera", "_cambio", "_slot")
 
 
 def route(files: DataFrame, extensions: list[str], cap: int = MAX_BYTES) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cordal.operators.ordered import with_previous
+
 #: Allowed transitions of a run.
 RUN_TRANSITIONS = {
     "creada": ["inventariando", "fallida"],
@@ -21,9 +22,14 @@ RUN_TRANSITIONS = {
 DOCUMENT_FINAL = ["aprobado", "cuarentena", "error_final"]
 
 
-def violations(log: DataFrame, key: str, order: list[str], state: str, allowed: dict[str, list[str]]) -> DataFrame:
-    """Log rows whose state may not follow the one before."""
-    rows = log.withColumn("anterior", F.lag(state).over(W.partitionBy(key).orderBy(*order)))
+def violations(
+    log: DataFrame, key: str, order: list[str], state: str, allowed: dict[str, list[str]], slot: Column | None = None
+) -> DataFrame:
+    """Log rows whose state may not follow the one before.
+
+    ``slot`` never falls in ``order``; it spreads the log of a large key (see ``ordered``).
+    """
+    rows = with_previous(log, key, order, state, F.lit(0) if slot is None else slot).drop("_slot", "_primera")
     bad = F.lit(True)
     for before, after in allowed.items():
         bad = F.when(F.col("anterior") == before, ~F.col(state).isin(after) if after else F.lit(True)).otherwise(bad)

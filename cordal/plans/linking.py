@@ -287,7 +287,7 @@ SELECT event_id, user_id, event_type, CAST(sum(CASE WHEN k > 1 AND event_type IS
 )
 def adjacent_groups(spark, sf_dir):
     """Runs of equal neighbouring events of a user."""
-    rows = dedup.adjacent_groups(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type")
+    rows = dedup.adjacent_groups(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type", F.to_date("ts"))
     return rows.select("event_id", "user_id", "event_type", F.col("tramo").cast("long").alias("tramo"))
 
 

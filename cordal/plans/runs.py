@@ -136,7 +136,7 @@ SELECT event_id, user_id, anterior, event_type FROM p WHERE anterior IS NOT NULL
 )
 def state_transition_violations(spark, sf_dir):
     """States that may not follow the one before."""
-    rows = runs.violations(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type", _ALLOWED)
+    rows = runs.violations(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type", _ALLOWED, F.to_date("ts"))
     return rows.select("event_id", "user_id", "anterior", "event_type")
 
 

@@ -130,3 +130,18 @@ def test_transitions(spark):
     bad = runs.violations(log, "k", ["v"], "s", runs.RUN_TRANSITIONS).collect()
     assert [(r.k, r.v) for r in bad] == [("a", 3)]
     assert {r.k: r.estado for r in runs.latest(log, "k", ["v"], "s").collect()} == {"a": "completada", "b": "procesando"}
+
+
+def test_runs_across_slots(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["a", "a", "b", None]), t, rnd.choice(["x", "y", None])) for t in range(300)]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    whole = {r.t: r.tramo for r in dedup.adjacent_groups(df, "k", ["t"], "v").collect()}
+    cut = {r.t: r.tramo for r in dedup.adjacent_groups(df, "k", ["t"], "v", F.floor(F.col("t") / 7)).collect()}
+    want, last, count = {}, {}, {}
+    for k, t, v in rows:
+        if k in last and last[k] != (v,):
+            count[k] = count.get(k, 0) + 1
+        last[k] = (v,)
+        want[t] = count.get(k, 0)
+    assert whole == cut == want
