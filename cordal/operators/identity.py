@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -40,27 +41,34 @@ def resolve(docs: DataFrame, bridge: DataFrame, alt: str, direct: str) -> DataFr
     )
 
 
-def resolve_in_order(docs: DataFrame, alt: str, direct: str, order: list[str], key: str) -> DataFrame:
+def resolve_in_order(
+    docs: DataFrame, alt: str, direct: str, order: list[str], key: str, slot: Column | None = None
+) -> DataFrame:
     """Strict mode: a document sees only the pairs registered before it.
 
-    A running minimum and maximum of the registered ids over the order of the
-    documents of one alternative key; the pairs are not multiplied.
+    A running minimum and maximum of the registered ids tells none, one or several.
+    They run inside (alternative key, slot) and over one row per slot; ``slot``
+    never falls in ``order``, so a key with many documents is spread over it.
     """
-    from pyspark.sql import Window as W
-
-    before = W.partitionBy(alt).orderBy(*order, key).rowsBetween(W.unboundedPreceding, -1)
-    low, high = F.min(direct).over(before), F.max(direct).over(before)
-    rows = docs.withColumn("_a", low).withColumn("_b", high)
-    known = F.col(alt).isNotNull() & F.col("_a").isNotNull()
+    rows = docs.withColumn("_slot", F.lit(0) if slot is None else slot)
+    before = W.partitionBy(alt, "_slot").orderBy(*order, key).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_a", F.min(direct).over(before)).withColumn("_b", F.max(direct).over(before))
+    ends = docs.withColumn("_slot", F.lit(0) if slot is None else slot).groupBy(alt, "_slot")
+    ends = ends.agg(F.min(direct).alias("_lo"), F.max(direct).alias("_hi"))
+    earlier = W.partitionBy(alt).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.select(
+        F.col(alt).alias("_alt"), F.col("_slot").alias("_s"), F.min("_lo").over(earlier).alias("_lo"), F.max("_hi").over(earlier).alias("_hi")
+    )
+    rows = rows.join(ends, rows[alt].eqNullSafe(ends["_alt"]) & rows["_slot"].eqNullSafe(ends["_s"]))
+    low, high = F.least("_a", "_lo"), F.greatest("_b", "_hi")
+    known = F.col(alt).isNotNull() & low.isNotNull()
     return (
-        rows.withColumn(
-            "resuelto", F.coalesce(F.col(direct), F.when(known & (F.col("_a") == F.col("_b")), F.col("_a")))
-        )
+        rows.withColumn("resuelto", F.coalesce(F.col(direct), F.when(known & (low == high), low)))
         .withColumn(
             "codigo",
             F.when(F.col("resuelto").isNotNull(), F.lit(None).cast("string"))
             .when(known, F.lit("clave_pii_ambigua"))
             .otherwise(F.lit("clave_pii_no_resuelta")),
         )
-        .drop("_a", "_b")
+        .drop("_a", "_b", "_lo", "_hi", "_alt", "_s", "_slot")
     )

@@ -192,7 +192,7 @@ SELECT id_estudio, resuelto, CASE WHEN resuelto IS NOT NULL THEN NULL WHEN conoc
 def bridge_in_order(spark, sf_dir):
     """J01 in strict order: a document sees only pairs registered before it."""
     docs = studies(spark, sf_dir).withColumn("propio", F.when(F.col("tipo_documento") == "laboratorio", F.col("id_paciente")))
-    out = identity.resolve_in_order(docs, "id_alt_paciente", "propio", ["fecha_estudio"], "id_estudio")
+    out = identity.resolve_in_order(docs, "id_alt_paciente", "propio", ["fecha_estudio"], "id_estudio", F.year("fecha_estudio"))
     return out.select("id_estudio", "resuelto", "codigo")
 
 
