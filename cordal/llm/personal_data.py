@@ -41,6 +41,8 @@ _EMAIL = re.compile(
     r"[a-z0-9-]+(?:(?:\.|[ ]+punto[ ]+)[a-z0-9-]+)+"
 )
 
+_AT = re.compile(r"(?i)@|\[at\]|\((?:arroba|at)\)|[ ]arroba[ ]")  # every e-mail has one of these
+
 _UP = "A-ZÁÉÍÓÚÑÜ"
 _LOW = "a-záéíóúñü"
 _STREET = rf"(?:(?:[Dd]el?|DEL?|[Ll]as?|LAS?|[Ll]os|LOS)[ ])*[{_UP}][{_UP}{_LOW}'’.]+(?:[ ](?:(?:[Dd]el?|DEL?|[Ll]as?|LAS?|[Ll]os|LOS)[ ])*[{_UP}][{_UP}{_LOW}'’]+){{0,3}}"
@@ -97,6 +99,16 @@ _PERSON = [
 ]
 _PERSON_ANY = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])(?:" + "|".join(_PERSON) + ")")
 _LOWER_PERSON = re.compile(rf"(?<![{_UP}{_LOW}.@+\d-]){_GL}{_END}(?:[ ]{_GL}{_END}|[ ][{_LOW}]\.)?(?:[ ](?:(?:de|del|de la)[ ])?{_SL}){{1,2}}")
+_WORDS = re.compile(r"[^\W\d_]+")
+_INITIAL = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])[{_UP}]\.")
+_NAME_WORDS = frozenset(x for n in _NAMES for x in (n.lower(), bare(n)))
+
+
+def _may_name(text: str) -> bool:
+    """Whether any person pattern can match: each of them needs a given name or an initial."""
+    return _INITIAL.search(text) is not None or not _NAME_WORDS.isdisjoint(_WORDS.findall(text.lower()))
+
+
 #: Words after which a span of lower-case words is no surname.
 _LOWER_STOP = {
     "autoriza", "espera", "desde", "para", "presentado", "vienen", "figura", "tolera", "firma", "vive", "retira",
@@ -219,8 +231,9 @@ def find(text: str) -> list[tuple[int, int, str]]:
         if a < b and free(a, b):
             taken.append((a, b, kind))
 
-    for m in _EMAIL.finditer(text):
-        take(*m.span(), "EMAIL_ADDRESS")
+    if _AT.search(text):
+        for m in _EMAIL.finditer(text):
+            take(*m.span(), "EMAIL_ADDRESS")
     for pattern in _ADDRESS:
         for m in pattern.finditer(text):
             take(*m.span(), "STREET_ADDRESS")
@@ -229,6 +242,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
             take(*found.span(), "STREET_ADDRESS")
     for a, b, kind in _numbers(text):
         take(a, b, kind)
+    if not _may_name(text):
+        return sorted(taken)
     rest = list(text)
     for a, b, _ in taken:
         rest[a:b] = "#" * (b - a)
