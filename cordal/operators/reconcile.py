@@ -61,7 +61,7 @@ def laboratory_inventory(docs: DataFrame, key: str, pages: str) -> DataFrame:
     paged = docs.select(key, F.posexplode(pages).alias("pagina", "t"))
     rows = paged.select(key, "pagina", F.posexplode(F.split("t", r"\r?\n")).alias("linea", "x"))
     title = F.upper(F.translate(F.regexp_replace("x", r"^[\s-]+|[\s-]+$", ""), "ÁÉÍÓÚáéíóú", "AEIOUaeiou"))
-    is_title = title.rlike("^(HEMATOLOGIA|HEMOSTASIA|QUIMICA CLINICA|IONOGRAMA( SERICO)?)$")
+    is_title = title.rlike(r"^(HEMATOLOGIA|HEMOSTASIA(\s+Y\s+COAGULACION)?|QUIMICA\s+CLINICA|IONOGRAMA(\s+SERICO)?|ORINA(\s+COMPLETA)?)$")
     is_row = (
         F.col("x").rlike(r"^\s*[^|]*\S[^|]*\|")
         | F.col("x").rlike(r"^\s*[^\s:][^:]*?\s{2,}[+-]?\d+([.,]\d+)?(\s{2,}.*|\s*)$")

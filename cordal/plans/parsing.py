@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cordal.functions import sql
-from cordal.operators import evidence, output, parsers, reconcile
+from cordal.operators import evidence, lines, output, parsers, reconcile
 from cordal.plans.linking import SECRET
 from cordal.plans.registry import Registry
 from cordal.session import table
@@ -19,36 +19,64 @@ _LAB = f"""f AS (SELECT DISTINCT id_fila, id_estudio, seccion, prueba, resultado
 r AS (SELECT *, row_number() OVER (PARTITION BY id_estudio ORDER BY id_fila) - 1 AS ordinal FROM f)"""
 
 
-def _lab_pages(spark, sf_dir):
-    """One page per study: a section line and a result line per clean raw row."""
-    plain = lambda c: ~F.col(c).contains("|") & ~F.col(c).rlike("[\n\r\t]") & (F.trim(c) != "")
+def _plain(name):
+    return ~F.col(name).contains("|") & ~F.col(name).rlike("[\n\r\t]") & (F.trim(name) != "")
+
+
+def _lab_pages(spark, sf_dir, clean=False):
+    """One page per study: a section line and a result line per raw row, or per ``clean`` row that DuckDB can follow.
+
+    A printed cell holds no line break and no bar: they are blanks there.
+    """
     rows = table(spark, sf_dir, "laboratorio_crudo").select("id_fila", "id_estudio", "seccion", "prueba", "resultado", "unidades").distinct()
-    rows = rows.where(F.col("seccion").isin("HEMATOLOGIA", "HEMOSTASIA", "QUIMICA CLINICA", "IONOGRAMA"))
-    rows = rows.where(plain("prueba") & plain("resultado") & (F.col("unidades").isNull() | plain("unidades")))
-    line = F.concat("seccion", F.lit("\n"), F.concat_ws(" | ", "prueba", "resultado", F.coalesce("unidades", F.lit(""))))
+    if clean:
+        rows = rows.where(F.col("seccion").isin("HEMATOLOGIA", "HEMOSTASIA", "QUIMICA CLINICA", "IONOGRAMA"))
+        rows = rows.where(_plain("prueba") & _plain("resultado") & (F.col("unidades").isNull() | _plain("unidades")))
+    cell = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[\r\n\t|]+", " ")
+    title = F.coalesce(F.concat(cell("seccion"), F.lit("\n")), F.lit(""))
+    line = F.concat(title, F.concat_ws(" | ", cell("prueba"), cell("resultado"), cell("unidades")))
     body = F.array_sort(F.collect_list(F.struct("id_fila", line.alias("x"))))
     pages = rows.groupBy("id_estudio").agg(body.alias("b"))
     return pages.select("id_estudio", F.array(F.array_join(F.transform("b", lambda x: x["x"]), "\n")).alias("paginas"))
 
 
-@registry(
-    f"""WITH {_LAB} SELECT id_estudio, CAST(ordinal AS INTEGER) AS ordinal, seccion, trim(prueba, ' ') AS prueba, trim(resultado, ' ') AS resultado, nullif(trim(unidades, ' '), '') AS unidades FROM r"""
-)
-def parse_laboratory_pages(spark, sf_dir):
-    """Pages of raw laboratory rows parsed back into rows."""
-    out = parsers.parse_laboratory(_lab_pages(spark, sf_dir), "id_estudio", "paginas")
+def _parsed_laboratory(pages):
+    out = parsers.parse_laboratory(pages, "id_estudio", "paginas")
     return out.select("id_estudio", "ordinal", "seccion", "prueba", "resultado", "unidades")
 
 
-@registry(f"WITH {_LAB} SELECT id_estudio, CAST(ordinal AS INTEGER) AS ordinal, 1 AS n_inv, 1 AS n_ref, 0 AS pagina, CAST(NULL AS VARCHAR) AS codigo FROM r")
-def reconcile_laboratory_pages(spark, sf_dir):
-    """An independent inventory of the pages covers the parsed rows."""
-    pages = _lab_pages(spark, sf_dir)
+def _reconciled_laboratory(pages):
     found = reconcile.laboratory_inventory(pages, "id_estudio", "paginas")
     cited = parsers.parse_laboratory(pages, "id_estudio", "paginas").select("id_estudio", "pagina", "ordinal")
     return evidence.coverage(found, cited, ["id_estudio", "ordinal"], "pagina")
 
 
+@registry()
+def parse_laboratory_pages(spark, sf_dir):
+    """Pages of all raw laboratory rows parsed back into rows."""
+    return _parsed_laboratory(_lab_pages(spark, sf_dir))
+
+
+@registry()
+def reconcile_laboratory_pages(spark, sf_dir):
+    """An independent inventory of the pages covers the parsed rows."""
+    return _reconciled_laboratory(_lab_pages(spark, sf_dir))
+
+
+@registry(
+    f"""WITH {_LAB} SELECT id_estudio, CAST(ordinal AS INTEGER) AS ordinal, seccion, trim(prueba, ' ') AS prueba, trim(resultado, ' ') AS resultado, nullif(trim(unidades, ' '), '') AS unidades FROM r"""
+)
+def parse_laboratory_clean_pages(spark, sf_dir):
+    """parse_laboratory_pages over the rows whose SQL is known: plain cells, four section spellings."""
+    return _parsed_laboratory(_lab_pages(spark, sf_dir, clean=True))
+
+
+@registry(f"WITH {_LAB} SELECT id_estudio, CAST(ordinal AS INTEGER) AS ordinal, 1 AS n_inv, 1 AS n_ref, 0 AS pagina, CAST(NULL AS VARCHAR) AS codigo FROM r")
+def reconcile_laboratory_clean_pages(spark, sf_dir):
+    """reconcile_laboratory_pages over the same rows."""
+    return _reconciled_laboratory(_lab_pages(spark, sf_dir, clean=True))
+
+
 @registry(
     f"""WITH f AS (SELECT DISTINCT id_medida, id_estudio, nombre, valor, unidad FROM medida_eco WHERE {_PLAIN.format(c='nombre')} AND {_PLAIN.format(c='valor')} AND (unidad IS NULL OR {_PLAIN.format(c='unidad')}))
 SELECT id_estudio, CAST(row_number() OVER (PARTITION BY id_estudio ORDER BY id_medida) - 1 AS INTEGER) AS ordinal, trim(nombre, ' ') AS nombre, trim(valor, ' ') AS valor, nullif(trim(unidad, ' '), '') AS unidad FROM f"""
@@ -65,19 +93,53 @@ def parse_echo_pages(spark, sf_dir):
     return parsers.parse_echo_measures(classed, "id_estudio").select("id_estudio", "ordinal", "nombre", "valor", "unidad")
 
 
+#: Printed labels of the five ECG measures.
+_ECG_LABELS = {"vent_rate": "Vent. rate", "pr_interval": "PR interval", "qrs_duration": "QRS duration", "qt_qtc": "QT/QTc", "ejes": "P-R-T axes"}
+
+
+def _ecg_pages(rows):
+    """A page per row: a bare number stands above its label, anything else behind it.
+
+    Every label is printed, and further from the next block than the parser
+    looks, so a missing value stays missing. Cells hold no line break.
+    """
+    page = [F.lit("PAZ, ANA~,  ID:1  02-JAN-2020  03:04:05   Hospital")]
+    for name, label in _ECG_LABELS.items():
+        value = F.trim(F.regexp_replace(name, r"[\s\x{85}\x{2028}\x{2029}]+", " "))
+        bare = value.rlike(lines.WINDOW_VALUE) & F.lit(name != "ejes")  # one number beside the axes' label is no axis
+        behind = F.concat_ws(" ", F.lit(label), value)
+        page.append(F.when(bare, F.concat(value, F.lit(f"\n{label}"))).otherwise(behind))
+    text = F.concat_ws("\n" * 4, *page).alias("t")
+    return rows.select(F.struct("id_estudio", text).alias("doc"), text)
+
+
+@registry()
+def parse_ecg_pages(spark, sf_dir):
+    """Pages of all ECGs parsed back, values anchored to their labels."""
+    rows = table(spark, sf_dir, "medicion_ecg").select("id_estudio", *_ECG_LABELS).distinct()
+    out = parsers.parse_ecg(_ecg_pages(rows), "doc", "t")
+    page = F.split("doc.t", "\n")
+    near = F.lit(True)
+    for name, label in _ECG_LABELS.items():
+        near = near & (F.col(name).isNull() | reconcile.beside_label(page, label.replace(".", r"\."), F.col(name)))
+    return out.select(
+        "doc.id_estudio", *_ECG_LABELS, F.date_format("fecha_estudio", "yyyy-MM-dd").alias("fecha"), "hora_estudio", "codigo", near.alias("anclado")
+    )
+
+
 @registry(
     """WITH e AS (SELECT DISTINCT id_estudio, trim(vent_rate, ' ') AS vent_rate, trim(qt_qtc, ' ') AS qt_qtc FROM medicion_ecg WHERE regexp_matches(trim(vent_rate, ' '), '^[0-9]+$') AND regexp_matches(trim(qt_qtc, ' '), '^[0-9]+/[0-9]+$'))
 SELECT id_estudio, vent_rate, qt_qtc, '2020-01-02' AS fecha, '03:04:05' AS hora_estudio, CAST(NULL AS VARCHAR) AS codigo, true AS anclado FROM e"""
 )
-def parse_ecg_pages(spark, sf_dir):
-    """ECG pages parsed back, values anchored to their labels."""
+def parse_ecg_clean_pages(spark, sf_dir):
+    """parse_ecg_pages over the rows whose SQL is known: two measures of bare digits, each beside its label."""
     rows = table(spark, sf_dir, "medicion_ecg").select("id_estudio", F.trim("vent_rate").alias("v"), F.trim("qt_qtc").alias("q")).distinct()
     rows = rows.where(F.col("v").rlike("^[0-9]+$") & F.col("q").rlike("^[0-9]+/[0-9]+$"))
     text = F.concat(F.lit("PAZ, ANA~,  ID:1  02-JAN-2020  03:04:05   Hospital\n"), "v", F.lit("\nVent. rate\nbpm\n\nQT/QTc\n"), "q", F.lit("\nms"))
     docs = rows.select("id_estudio", text.alias("t"))
     out = parsers.parse_ecg(docs, "id_estudio", "t").join(docs, "id_estudio")
-    lines = F.split("t", "\n")
-    near = reconcile.beside_label(lines, "Vent\\. rate", F.col("vent_rate")) & reconcile.beside_label(lines, "QT/QTc", F.col("qt_qtc"))
+    page = F.split("t", "\n")
+    near = reconcile.beside_label(page, "Vent\\. rate", F.col("vent_rate")) & reconcile.beside_label(page, "QT/QTc", F.col("qt_qtc"))
     return out.select(
         "id_estudio", "vent_rate", "qt_qtc", F.date_format("fecha_estudio", "yyyy-MM-dd").alias("fecha"), "hora_estudio", "codigo", near.alias("anclado")
     )
