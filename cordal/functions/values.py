@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,10 +15,34 @@ SECTIONS = ["HEMATOLOGIA", "HEMOSTASIA", "QUIMICA CLINICA", "IONOGRAMA"]
 SECTION_ALIAS = {"IONOGRAMA SERICO": "IONOGRAMA"}
 
 
+#: Fixed value: a blank of any script, as Unicode counts them.
+BLANK = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+@cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """What case folding changes in lower-case letters: single characters from, to; one to several.
+
+    The micro sign stays: its SQL counterpart keeps it.
+    """
+    changed = {c: c.casefold() for c in map(chr, range(0x80, 0x110000)) if c != "µ" and c.lower() == c != c.casefold()}
+    single = [c for c in changed if len(changed[c]) == 1]
+    return "".join(single), "".join(changed[c] for c in single), {c: to for c, to in changed.items() if len(to) > 1}
+
+
+def case_folded(text: Column) -> Column:
+    """Lower case without the forms that only differ in writing, as ß or a final sigma."""
+    source, target, several = _folds()
+    lower = F.lower(text)
+    expanded = F.translate(lower, source, target)
+    for c, to in several.items():
+        expanded = F.replace(expanded, F.lit(c), F.lit(to))
+    return F.when(lower.rlike(f"[{source}{''.join(several)}]"), expanded).otherwise(lower)
+
+
 def normal_text(text: Column) -> Column:
     """Bars are blanks, blanks collapsed, trimmed, case folded."""
-    folded = F.replace(F.lower(F.replace(text, F.lit("|"), F.lit(" "))), F.lit("ß"), F.lit("ss"))
-    return F.trim(F.regexp_replace(folded, r"\s+", " "))
+    return F.trim(F.regexp_replace(case_folded(F.replace(text, F.lit("|"), F.lit(" "))), f"{BLANK}+", " "))
 
 
 def normal_number(text: Column, max_decimals: int | None = None) -> Column:
@@ -97,7 +123,7 @@ def lab_section(line: Column) -> Column:
 
 def first_segment(text: Column) -> Column:
     """Text before two or more blanks."""
-    return F.trim(F.split(F.trim(text), r"\s{2,}")[0])
+    return F.trim(F.split(F.trim(text), f"{BLANK}{{2,}}")[0])
 
 
 def collapsed(text: Column) -> Column:
@@ -130,8 +156,11 @@ def extra_columns(tokens: Column) -> Column:
 
 
 def header_field(text: Column, pattern: str) -> Column:
-    """First match of a header pattern's first group, first segment; null on a miss."""
-    return F.nullif(first_segment(F.regexp_extract(text, pattern, 1)), F.lit(""))
+    """First match of a header pattern's first group, first segment; null on a miss.
+
+    A line ends at its line feed alone.
+    """
+    return F.nullif(first_segment(F.regexp_extract(text, f"(?d){pattern}", 1)), F.lit(""))
 
 
 def sorted_json(extras: Column, personal: list[str]) -> Column:

@@ -103,18 +103,26 @@ def value_and_unit(spark, sf_dir):
     return parts.select("id_medida", F.col("p.valor").alias("valor_solo"), F.col("p.unidad").alias("unidad_pegada"))
 
 
+def _normal_text(docs):
+    return docs.select(
+        "doc_id", values.normal_text(F.col("text")).alias("normal"), values.first_segment(F.col("text")).alias("primer_segmento")
+    )
+
+
+@registry()
+def normal_text(spark, sf_dir):
+    """normalised text and first segment of all documents (DuckDB folds and counts blanks otherwise)."""
+    return _normal_text(table(spark, sf_dir, "documents").where("text IS NOT NULL"))
+
+
 @registry(
     """SELECT doc_id, lower(trim(regexp_replace(replace(substr(text, 1, 4000000), '|', ' '), '\\s+', ' ', 'g'))) AS normal,
   trim(regexp_split_to_array(trim(text), '\\s{2,}')[1]) AS primer_segmento FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\\x00-\\xff]|ß|\\xa0|\\x85')"""
 )
-def normal_text(spark, sf_dir):
-    """normalised text and first segment (of texts in one-byte characters)."""
-    rows = table(spark, sf_dir, "documents").where("text IS NOT NULL").where(
-        ~F.col("text").rlike("[^\\x00-\\xff]|ß|\\xa0|\\x85")
-    )
-    return rows.select(
-        "doc_id", values.normal_text(F.col("text")).alias("normal"), values.first_segment(F.col("text")).alias("primer_segmento")
-    )
+def normal_text_one_byte(spark, sf_dir):
+    """normal_text of the texts in one-byte characters, whose SQL is known."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    return _normal_text(docs.where(~F.col("text").rlike("[^\\x00-\\xff]|ß|\\xa0|\\x85")))
 
 
 @registry(
@@ -288,7 +296,7 @@ def nearest_line_value(spark, sf_dir):
 )
 def header_fields(spark, sf_dir):
     """First match of header fields."""
-    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").where(~F.col("text").rlike("[\\x85\\u2028\\u2029]"))
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     return docs.select(
         "doc_id",
         values.header_field(F.col("text"), r"Petici[oó]n:?\s*N[ºo°]?\s*(.+)").alias("peticion"),

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from cordal.plans import parsing
+from cordal.plans import parsing, texts
 
 
 def write(spark, folder, name, rows, schema):
@@ -60,3 +60,25 @@ def test_laboratory_inventory_covers_every_row(spark, laboratory):
     folder, rows = laboratory
     out = parsing.reconcile_laboratory_pages(spark, folder).collect()
     assert len(out) == len(rows) and all((r.n_inv, r.n_ref, r.codigo) == (1, 1, None) for r in out)
+
+
+TEXTS = [
+    "A|B  Straße", "Mba'ẽ\u00a0\u2003 ≥ 5", "“Paz” • x\u200by \ufffd", "√┤ ПАЗ", "ΟΔΟΣ  fin", "a\u0085b", "ﬁn\u2028 İ ŉ", "ÁRBOL Ñ\tµ", "ẞ ſ",
+    "Edad: 50 a\u0085b\u2028c\nx", "Petición: Nº 7\u20298  resto", None,
+]
+
+
+def test_normal_text_of_every_document(spark, tmp_path):
+    write(spark, tmp_path, "documents", list(enumerate(TEXTS)), "doc_id long, text string")
+    out = texts.normal_text(spark, str(tmp_path)).collect()
+    got = {r.doc_id: r.normal for r in out}
+    assert {r.doc_id: r.primer_segmento for r in out} == {i: re.split(r"\s{2,}", t.strip(" "))[0].strip(" ") for i, t in enumerate(TEXTS) if t is not None}
+    fold = lambda t: "µ".join(p.casefold() for p in t.split("µ"))
+    assert got == {i: re.sub(r"\s+", " ", fold(t.replace("|", " "))).strip() for i, t in enumerate(TEXTS) if t is not None}
+
+
+def test_header_fields_of_every_document(spark, tmp_path):
+    write(spark, tmp_path, "documents", list(enumerate(TEXTS)), "doc_id long, text string")
+    got = {r.doc_id: (r.peticion, r.edad) for r in texts.header_fields(spark, str(tmp_path)).collect()}
+    assert len(got) == len(TEXTS) - 1
+    assert (got[9], got[10]) == ((None, "50 a\u0085b\u2028c"), ("7\u20298", None))
