@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cordal.functions import keys
 from cordal.operators import classify, dedup, episodes, identity
+from cordal.plans.pipeline import Pipeline
 from cordal.plans.registry import Registry
 from cordal.session import table
 
@@ -124,18 +125,6 @@ def episodes_per_patient(spark, sf_dir):
     )
 
 
-@registry("SELECT 0 AS sin_destino")
-def gate_totality(spark, sf_dir):
-    """Documents neither approved nor quarantined; must be none."""
-    docs = linked(spark, sf_dir)
-    state = episodes.gate(docs, "id_paciente", "tipo_documento", KINDS).select("id_paciente", "ancla", "estado")
-    routed = docs.join(state, ["id_paciente", "ancla"])
-    lost = episodes.unaccounted(
-        docs, routed.where("estado = 'aprobado'"), routed.where("estado = 'cuarentena'"), "id_estudio"
-    )
-    return lost.agg(F.count("*").cast("int").alias("sin_destino"))
-
-
 _PAIRS = "pares AS (SELECT DISTINCT id_alt_paciente, id_paciente FROM estudio WHERE tipo_documento = 'laboratorio' AND id_alt_paciente IS NOT NULL AND id_paciente IS NOT NULL)"
 _BRIDGE = f"""WITH {_PAIRS}, puente AS (
   SELECT id_alt_paciente AS alt, CASE WHEN count(DISTINCT id_paciente) = 1 THEN min(id_paciente) END AS id_paciente,
@@ -153,6 +142,61 @@ def bridge_build(spark, sf_dir):
     return _bridge(spark, sf_dir)
 
 
+def with_date(docs: DataFrame) -> DataFrame:
+    """Stage: a study without a date is an incomplete parse."""
+    return docs.withColumn("codigo", F.when(F.col("fecha_estudio").isNull(), F.lit("parseo_incompleto")))
+
+
+def with_gate(docs: DataFrame) -> DataFrame:
+    """Stage: anchor and code of the gate of the episode of the resolved patient."""
+    rows = episodes.anchor_episodes(docs, "resuelto", "fecha_estudio")
+    state = episodes.gate(rows, "resuelto", "tipo_documento", KINDS).select(
+        F.col("resuelto").alias("_p"), F.col("ancla").alias("_a"), F.col("codigo").alias("_c")
+    )
+    kept = rows.join(state, (rows["resuelto"] == state["_p"]) & (rows["ancla"] == state["_a"]), "left")
+    return kept.withColumn("codigo", F.col("_c")).drop("_p", "_a", "_c")
+
+
+def gated(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Bridge, date and gate: what decides whether a study is approved or in quarantine."""
+    bridge = _bridge(spark, sf_dir)
+    found = Pipeline().add("identidad", lambda d: identity.resolve(d, bridge, "id_alt_paciente", "id_paciente"))
+    return found.add("fecha", with_date).add("episodio", with_gate)
+
+
+@registry("SELECT 0 AS sin_destino")
+def gate_totality(spark, sf_dir):
+    """Studies neither approved nor quarantined, of all distinct studies; must be none."""
+    docs = studies(spark, sf_dir)
+    docs = docs.withColumn("clave", F.to_json(F.struct(*docs.columns)))
+    approved, quarantined = gated(spark, sf_dir).run(docs)
+    lost = episodes.unaccounted(docs, approved, quarantined, "clave")
+    return lost.agg(F.count("*").cast("int").alias("sin_destino"))
+
+
+@registry(
+    _BRIDGE.replace("WITH", "WITH RECURSIVE", 1)
+    + f""", {_STUDIES},
+r AS (SELECT s.id_estudio, s.tipo_documento, s.fecha_estudio AS fecha, coalesce(s.id_paciente, p.id_paciente) AS paciente, coalesce(p.ambiguo, false) AS ambiguo
+  FROM studies s LEFT JOIN puente p ON s.id_alt_paciente = p.alt),
+n AS (SELECT *, row_number() OVER (PARTITION BY paciente ORDER BY fecha) AS k FROM (SELECT DISTINCT paciente, fecha FROM r WHERE paciente IS NOT NULL AND fecha IS NOT NULL)),
+walk AS (
+  SELECT paciente, fecha, k, fecha AS ancla FROM n WHERE k = 1
+  UNION ALL
+  SELECT n.paciente, n.fecha, n.k, CASE WHEN n.fecha - w.ancla <= 7 THEN w.ancla ELSE n.fecha END FROM walk w JOIN n ON n.paciente = w.paciente AND n.k = w.k + 1),
+a AS (SELECT r.*, w.ancla FROM r LEFT JOIN walk w ON r.paciente = w.paciente AND r.fecha = w.fecha),
+c AS (SELECT *, count(*) OVER e - count(DISTINCT tipo_documento) OVER e AS de_mas,
+  count(DISTINCT CASE WHEN tipo_documento IN ('ecg', 'laboratorio', 'ecocardiograma') THEN tipo_documento END) OVER e AS hay FROM a WINDOW e AS (PARTITION BY paciente, ancla))
+SELECT CASE WHEN paciente IS NULL THEN CASE WHEN ambiguo THEN 'clave_pii_ambigua' ELSE 'clave_pii_no_resuelta' END WHEN fecha IS NULL THEN 'parseo_incompleto'
+  WHEN de_mas > 0 THEN 'episodio_ambiguo' WHEN hay < 3 THEN 'episodio_incompleto' ELSE 'aprobado' END AS destino, count(*) AS documentos FROM c GROUP BY 1"""
+)
+def gate_destinations(spark, sf_dir):
+    """How many studies are approved or in quarantine under each code."""
+    approved, quarantined = gated(spark, sf_dir).run(studies(spark, sf_dir))
+    both = approved.select(F.lit("aprobado").alias("destino")).unionByName(quarantined.select(F.col("codigo").alias("destino")))
+    return both.groupBy("destino").agg(F.count("*").alias("documentos"))
+
+
 @registry(
     _BRIDGE
     + ", mitad AS (SELECT id_alt_paciente AS alt, id_paciente FROM pares WHERE id_paciente < '8')"

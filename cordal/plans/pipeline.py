@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -36,13 +37,12 @@ class Pipeline:
         """(published, quarantined): every input row is in exactly one of them."""
         if "codigo" not in df.columns:
             df = df.withColumns({"codigo": F.lit(None).cast("string"), "etapa": F.lit(None).cast("string")})
+        live, held = df.where("codigo IS NULL"), [df.where("codigo IS NOT NULL")]
         for name, stage in self.stages:
-            before = F.col("codigo").isNotNull()
-            held, live = df.where(before), df.where(~before)
             done = stage(live)
-            fresh = F.when(F.col("codigo").isNotNull(), F.lit(name))
-            df = done.withColumn("etapa", F.coalesce("etapa", fresh)).unionByName(held, allowMissingColumns=True)
-        return df.where("codigo IS NULL").drop("codigo", "etapa"), df.where("codigo IS NOT NULL")
+            held.append(done.where("codigo IS NOT NULL").withColumn("etapa", F.coalesce("etapa", F.lit(name))))
+            live = done.where("codigo IS NULL")
+        return live.drop("codigo", "etapa"), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), held)
 
 
 class Registry:

@@ -1,10 +1,12 @@
 """Queries over all rows of their tables, against brute force on small fixtures."""
 
 import re
+from datetime import date
 
 import pytest
 
-from cordal.plans import parsing, texts
+from cordal.operators import identity
+from cordal.plans import linking, parsing, texts
 
 
 def write(spark, folder, name, rows, schema):
@@ -82,3 +84,33 @@ def test_header_fields_of_every_document(spark, tmp_path):
     got = {r.doc_id: (r.peticion, r.edad) for r in texts.header_fields(spark, str(tmp_path)).collect()}
     assert len(got) == len(TEXTS) - 1
     assert (got[9], got[10]) == ((None, "50 a\u0085b\u2028c"), ("7\u20298", None))
+
+
+D = date(2024, 1, 1)
+STUDIES = [
+    (1, "a", "x", "laboratorio", D), (2, None, "x", "ecg", D), (3, None, "x", "ecocardiograma", D),  # one episode through the bridge
+    (4, "b", "y", "laboratorio", D), (5, "c", "y", "laboratorio", D), (6, None, "y", "ecg", D),  # two patients claim y
+    (7, None, "z", "ecg", D), (8, None, None, "ecg", D), (9, None, "x", "ecg", None), (10, "d", None, "ecg", D), (11, "d", None, "ecg", D),
+]
+CODES = {
+    "aprobado": 3, "episodio_incompleto": 2, "clave_pii_ambigua": 1, "clave_pii_no_resuelta": 2, "parseo_incompleto": 1, "episodio_ambiguo": 2,
+}
+
+
+@pytest.fixture
+def all_studies(spark, tmp_path):
+    schema = "id_estudio int, id_paciente string, id_alt_paciente string, tipo_documento string, fecha_estudio date"
+    write(spark, tmp_path, "estudio", STUDIES + STUDIES[:2], schema)
+    return str(tmp_path)
+
+
+def test_every_study_has_a_destination(spark, all_studies):
+    got = {r.destino: r.documentos for r in linking.gate_destinations(spark, all_studies).collect()}
+    assert got == CODES
+    assert linking.gate_totality(spark, all_studies).first().sin_destino == 0
+
+
+def test_totality_sees_a_lost_study(spark, all_studies, monkeypatch):
+    whole = identity.resolve
+    monkeypatch.setattr(identity, "resolve", lambda *a: whole(*a).where("resuelto IS NOT NULL"))
+    assert linking.gate_totality(spark, all_studies).first().sin_destino == 3
