@@ -182,23 +182,39 @@ def redact_ids(spark, sf_dir):
     return rows.select("id_seccion", masking.redact_ids(F.col("texto")).alias("texto_redactado")).distinct()
 
 
+def _known_names():
+    return F.array(F.lit("Guadalupe"), F.lit("Silvia Federte"), F.element_at(F.split("texto", r"\s+"), 1))
+
+
 @registry()
 def redact_known_names(spark, sf_dir):
     """The first two layers with known names of each row (per-row pattern: no RE2 form)."""
-    names = F.array(F.lit("Guadalupe"), F.lit("Silvia Federte"), F.element_at(F.split("texto", r"\s+"), 1))
     rows = table(spark, sf_dir, "texto_seccion_eco").where("texto IS NOT NULL")
-    return rows.select("id_seccion", masking.redact(F.col("texto"), names).alias("texto_redactado")).distinct()
+    return rows.select("id_seccion", masking.redact(F.col("texto"), _known_names()).alias("texto_redactado")).distinct()
+
+
+#: Fixed value: an e-mail address, parts of which the layers before may have redacted.
+_EMAIL = r"(?:[A-Za-z0-9._+-]|\[REDACTADO\])+@(?:[A-Za-z0-9.-]|\[REDACTADO\])+"
+
+
+def email_spans(text):
+    """(inicio, fin) of every e-mail address, each looked for behind the one before."""
+    empty = F.array().cast("array<struct<inicio:int,fin:int>>")
+
+    def step(acc, found):
+        start = F.call_function("locate", found, text, F.coalesce(F.try_element_at(acc, F.lit(-1))["fin"], F.lit(0)) + 1) - 1
+        return F.concat(acc, F.array(F.struct(start.alias("inicio"), (start + F.length(found)).alias("fin"))))
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_EMAIL), F.lit(0)), empty, step)
 
 
 @registry()
 def redact_layers(spark, sf_dir):
-    """All layers with spans of a regex detector (span folds: no SQL form)."""
-    starts = F.regexp_extract_all("texto", F.lit(r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+"), F.lit(0))
-    spans = F.transform(
-        starts, lambda s: F.struct((F.instr(F.col("texto"), s) - 1).alias("inicio"), (F.instr(F.col("texto"), s) - 1 + F.length(s)).alias("fin"))
-    )
+    """Ids, known names, then spans of a regex detector on what they leave (span folds: no SQL form)."""
     rows = table(spark, sf_dir, "texto_seccion_eco").where("texto IS NOT NULL")
-    return rows.select("id_seccion", masking.redact_spans(F.col("texto"), spans).alias("texto_redactado")).distinct()
+    names = _known_names()
+    spans = email_spans(masking.redact(F.col("texto"), names))
+    return rows.select("id_seccion", masking.redact(F.col("texto"), names, spans).alias("texto_redactado")).distinct()
 
 
 @registry(

@@ -114,3 +114,23 @@ def test_totality_sees_a_lost_study(spark, all_studies, monkeypatch):
     whole = identity.resolve
     monkeypatch.setattr(identity, "resolve", lambda *a: whole(*a).where("resuelto IS NOT NULL"))
     assert linking.gate_totality(spark, all_studies).first().sin_destino == 3
+
+
+SECTIONS_ECO = [
+    "Paz refiere DNI 12.345.678, mail ana.1@x.com y ana.1@x.com; Guadalupe y PAZ", "Eco a@b.co xa@b.co a@b.co 1234567 Silvia  Federte",
+    "Nota ana1234567@x.com guadalupe.p@casa-1.org", "Normal", "Solo 40123456",
+]
+
+
+def test_all_redaction_layers_run(spark, tmp_path):
+    write(spark, tmp_path, "texto_seccion_eco", list(enumerate(SECTIONS_ECO)) + [(9, None)], "id_seccion long, texto string")
+    got = {r.id_seccion: r.texto_redactado for r in texts.redact_layers(spark, str(tmp_path)).collect()}
+    mark = "[REDACTADO]"
+    want = {}
+    for i, t in enumerate(SECTIONS_ECO):
+        first = t.split()[0]
+        t = re.sub(r"(?<![\d.])\d{1,2}\.\d{3}\.\d{3}(?!\d)|(?<!\d)\d{6,8}(?!\d)", mark, t)
+        t = re.sub(rf"(?i)(?<!\w)(?:Silvia\s+Federte|Guadalupe|Federte|Silvia|{first})(?!\w)", mark, t)
+        want[i] = re.sub(r"(?:[\w.+-]|\[REDACTADO\])+@(?:[\w.-]|\[REDACTADO\])+", mark, t)
+    assert got == want
+    assert not any("@" in t or "1234567" in t or "uadalupe" in t for t in got.values())
