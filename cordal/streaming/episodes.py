@@ -30,6 +30,25 @@ def _fold(docs: list[list], window_days: int) -> list[tuple[date, list[list]]]:
     return out
 
 
+def _split(waiting: list[list], new: set[tuple[str, str, str, bool]]) -> tuple[list[list], dict[str, int]]:
+    """(documents of open episodes, late ones per day).
+
+    A document behind the watermark still joins an open episode whose anchor is
+    not after it; before that anchor an episode may already be out.
+    """
+    docs = sorted({tuple(d) for d in waiting} | {d[:3] for d in new if not d[3]})
+    anchor = min((d[0] for d in waiting), default=None)
+    late: dict[str, int] = {}
+    for *doc, behind in sorted(new):
+        if not behind or tuple(doc) in docs:
+            continue
+        if anchor is not None and doc[0] >= anchor:
+            docs.append(tuple(doc))
+        else:
+            late[doc[0]] = late.get(doc[0], 0) + 1
+    return [list(d) for d in sorted(set(docs))], late
+
+
 def _verdict(docs: list[list], required: list[str]) -> tuple[str, str | None, str]:
     kinds = [d[1] for d in docs]
     missing = ",".join(sorted(set(required) - set(kinds)))
@@ -42,17 +61,25 @@ def closing_episodes(
     stream: DataFrame, patient: str, moment: str, kind: str, doc: str, required: list[str],
     window_days: int = 7, lateness: str = "1 day",
 ) -> DataFrame:
-    """One row per episode once it can no longer change; documents later than
-    ``lateness`` behind the newest one are dropped by the watermark."""
+    """One row per episode once it can no longer change.
+
+    Documents later than ``lateness`` behind the newest one are kept: they join an
+    episode that is open, else they are a quarantine row of their day with motive
+    ``documento_tardio``. An episode that is out never changes.
+    """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        docs = json.loads(state.get[0]) if state.exists else []
+        waiting = json.loads(state.get[0]) if state.exists else []
+        mark = state.getCurrentWatermarkMs()
+        now = datetime.fromtimestamp(mark / 1000, timezone.utc).date()
+        new = set()
         for batch in batches:
-            for when, k, d in zip(batch["_t"], batch["_k"], batch["_d"]):
-                docs.append([pd.Timestamp(when).date().isoformat(), k, d])
-        docs = [list(x) for x in sorted({tuple(d) for d in docs})]
-        now = datetime.fromtimestamp(state.getCurrentWatermarkMs() / 1000, timezone.utc).date()
-        rows, keep = [], []
+            for when, k, d, late, clock in zip(batch["_t"], batch["_k"], batch["_d"], batch["_ms"], batch["_w"]):
+                if pd.isna(clock):
+                    new.add((pd.Timestamp(when).date().isoformat(), k, d, mark > 0 and late <= mark))
+        docs, late_days = _split(waiting, new)
+        rows = [(key[0], date.fromisoformat(day), n, "", "documento_tardio", "cuarentena") for day, n in late_days.items()]
+        keep = []
         for anchor, members in _fold(docs, window_days):
             if anchor + timedelta(days=window_days) < now:
                 missing, motive, verdict = _verdict(members, required)
@@ -72,8 +99,12 @@ def closing_episodes(
         F.col(patient).cast("string").alias("_p"), F.col(moment).cast("timestamp").alias("_t"),
         F.col(kind).alias("_k"), F.col(doc).cast("string").alias("_d"),
     )
+    # the watermark drops rows by _w: a document goes without it, its copy with it only moves the watermark
+    rows = rows.withColumn("_ms", F.unix_millis("_t"))
+    twice = F.explode(F.array(F.col("_t"), F.lit(None).cast("timestamp")))
     return (
-        rows.withWatermark("_t", lateness)
+        rows.withColumn("_w", twice)
+        .withWatermark("_w", lateness)
         .groupBy("_p")
         .applyInPandasWithState(update, OUT, "docs string", "append", GroupStateTimeout.EventTimeTimeout)
     )
