@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 
 from cordal.operators import identity
-from cordal.plans import linking, parsing, texts
+from cordal.plans import linking, parsing, staged, texts
 
 
 def write(spark, folder, name, rows, schema):
@@ -134,3 +134,15 @@ def test_all_redaction_layers_run(spark, tmp_path):
         want[i] = re.sub(r"(?:[\w.+-]|\[REDACTADO\])+@(?:[\w.-]|\[REDACTADO\])+", mark, t)
     assert got == want
     assert not any("@" in t or "1234567" in t or "uadalupe" in t for t in got.values())
+
+
+def test_pipeline_over_all_studies(spark, all_studies, tmp_path):
+    sections = [(7, 3, "DNI 12345678, a@b.co"), (5, 3, "Normal"), (5, 3, "Normal"), (8, 3, None), (6, 7, "en cuarentena 12345678")]
+    write(spark, tmp_path, "texto_seccion_eco", sections, "id_seccion long, id_estudio int, texto string")
+    totals = staged.pipeline_totals(spark, all_studies).first().asDict()
+    assert totals == {"entrada": 11, "publicados": 3, "en_cuarentena": 8, "diferencia": 0, "secciones": 2, "redacciones": 2}
+    out = {r.id_estudio: r for r in staged.pipeline_published(spark, all_studies).collect()}
+    assert set(out) == {1, 2, 3} and len({r.clave_paciente for r in out.values()}) == len({r.clave_episodio for r in out.values()}) == 1
+    assert [tuple(s) for s in out[3].textos] == [(5, "Normal"), (7, "DNI [REDACTADO], [REDACTADO]")] and "resuelto" not in out[1]
+    bad = staged.staged(spark, all_studies).run(linking.studies(spark, all_studies))[1].groupBy("etapa").count()
+    assert {r.etapa: r["count"] for r in bad.collect()} == {"identidad": 3, "fecha": 1, "episodio": 4}
