@@ -188,6 +188,11 @@ def date_pseudonym(text: str, key: bytes) -> str:
             return f"{new.day:02d}{m[2]}{new.month:02d}{m[2]}{new.year:04d}"
 
 
+def _dates_moved(text: str, key: bytes) -> str:
+    """Every date of a text without other data under ``date_pseudonym``."""
+    return _DATE.sub(lambda m: date_pseudonym(m[0], key), text)
+
+
 def _numbers(text: str) -> Iterator[tuple[int, int, str]]:
     for m in _NUMBER.finditer(text):
         a, b = m.span()
@@ -265,15 +270,18 @@ def find(text: str) -> list[tuple[int, int, str]]:
 
 
 def protect(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str, str]]]:
-    """The text with every datum replaced, and the spans with their stand-ins."""
+    """The text with every datum replaced, and the spans with their stand-ins.
+
+    Valid dates outside the spans are moved too; they are no type of their own.
+    """
     data, parts, end = [], [], 0
     for a, b, kind in find(text):
         numeric = kind in ("PHONE_NUMBER", "ID_NUMBER")
         new = pseudonym(text[a:b], kind, key) if numeric else f"[{kind}]"
         data.append((a, b, kind, new))
-        parts += [text[end:a], new]
+        parts += [_dates_moved(text[end:a], key), new]
         end = b
-    return "".join(parts) + text[end:], data
+    return "".join(parts) + _dates_moved(text[end:], key), data
 
 
 def protected_texts(df: DataFrame, id_col: str, text_col: str, key: bytes) -> DataFrame:
