@@ -80,6 +80,9 @@ _USUAL = -2.5 * math.log(10)
 _FOREIGN = re.compile(r"[^\x00-\x7f]")
 _REPLACED = re.compile(r"�|[a-záéíóúñ]\?[a-záéíóúñ]|[A-ZÁÉÍÓÚÑ]\?[A-ZÁÉÍÓÚÑ]|\bN\?(?=\s*[0-9])|(?<![\w?])\?[A-Za-z]")
 
+#: Rows that restore() can report: what is not ASCII, and every alternative of _REPLACED in ASCII or wider.
+_MAY_BE = r"[^\x00-\x7f]|\p{L}\?\p{L}|N\?[\s\x1c-\x1f]*[0-9]|\?[A-Za-z]"
+
 SCHEMA = "doc_id bigint, pares string, perdida boolean, restaurado string, md5_texto string"
 
 
@@ -269,5 +272,5 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def garbled(documents: DataFrame) -> DataFrame:
     """The affected rows of ``documents`` (doc_id, text), see ``SCHEMA``."""
-    source = documents.where(F.col("text").isNotNull() & F.col("text").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))
+    source = documents.where(F.col("text").isNotNull() & F.col("text").rlike(_MAY_BE))
     return source.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_run, SCHEMA).distinct()
