@@ -15,6 +15,7 @@ Defined results
 * a unit that does not fit the analyte's quantity: ``valor_comun`` null.
 * unknown analyte or section: kept, with null ``codigo`` and ``valor_comun``.
 * comma and point are decimal marks, never thousands marks.
+* a number behind a hedge (``aprox. 29 MM``) is a plain number.
 * repeated rows stay repeated; ``differing_units`` reports each of them once.
 """
 
@@ -77,25 +78,30 @@ UNITS = [
 #: Ion charge by analyte code, where it is not 1.
 CHARGES = {"CAL": 2.0, "MAG": 2.0}
 
-_NUMBER = r"^\s*([-−+]?[0-9]+(?:[.,][0-9]+)?)\s*(.*?)\s*$"
+#: Words and marks in front of a number that say it is rounded; a limit (< or >) is none of them.
+HEDGES = r"aprox(?:imad[oa](?:mente)?)?|alrededor\s+de|cerca\s+de|unos|unas|circa|ca|~|≈|±"
+_NUMBER = rf"^\s*(?:(?i:{HEDGES})[.:]?\s*)?([-−+]?[0-9]+(?:[.,][0-9]+)?)\s*(.*?)\s*$"
 
 
 def unit_aliases(spark: SparkSession) -> DataFrame:
-    """(unidad_key, magnitud, a_base): a unit key may serve several quantities."""
-    rows = [(key, quantity, factor) for quantity, factor, keys in UNITS for key in keys.split()]
-    return spark.createDataFrame(rows, "unidad_key string, magnitud string, a_base double")
+    """(unidad_key, magnitud, a_base, orden): a unit key may serve several quantities."""
+    rows = [(key, quantity, factor, n) for n, (quantity, factor, keys) in enumerate(UNITS) for key in keys.split()]
+    return spark.createDataFrame(rows, "unidad_key string, magnitud string, a_base double, orden int")
 
 
-def unit_factors(ref: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+def unit_factors(ref: DataFrame, extra: DataFrame | None = None, charges: dict[str, float] = CHARGES) -> DataFrame:
     """(codigo, unidad_key, factor, desplazamiento): stated unit to common unit.
 
-    Molar and charge units are tied to mass units by ``masa_molar`` (g/mol).
-    ``extra`` may add rows of the same columns, such as affine conversions.
+    Molar and charge units are tied to mass units by ``masa_molar`` (g/mol) and
+    ``charges``. Where the common unit is a key of several quantities, the first
+    of them in ``UNITS`` that has a factor for the analyte counts ("mm" is molar
+    only with a molar mass, "ui/l" an enzyme's unit unless the common one is of a
+    hormone). ``extra`` may add rows of the same columns, such as affine conversions.
     """
     spark = ref.sparkSession
     alias = F.broadcast(unit_aliases(spark))  # a constant of this module, under 150 rows
     molar = F.col("masa_molar") / 10.0
-    charge = reduce(lambda c, kv: F.when(F.col("codigo") == kv[0], F.lit(kv[1])).otherwise(c), CHARGES.items(), F.lit(1.0))
+    charge = reduce(lambda c, kv: F.when(F.col("codigo") == kv[0], F.lit(kv[1])).otherwise(c), charges.items(), F.lit(1.0))
     scale = (
         F.when(F.col("magnitud") == "mole", F.col("a_base") * molar)
         .when(F.col("magnitud") == "charge", F.col("a_base") * molar / charge)
@@ -104,16 +110,14 @@ def unit_factors(ref: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     family = F.when(F.col("magnitud").isin("mole", "charge"), "mass").otherwise(F.col("magnitud"))
     base = ref.select("codigo", unit_key(F.col("unidad_comun")).alias("comun_key"), "masa_molar")
     common = base.join(alias, base["comun_key"] == alias["unidad_key"]).select(
-        "codigo", "masa_molar", "magnitud", scale.alias("comun_a_base"), family.alias("familia")
+        "codigo", "masa_molar", scale.alias("comun_a_base"), family.alias("familia"), "orden"
     )
-    # "ui/l" and "mm" are keys of two quantities: the common unit's own quantity decides
-    common = common.where(~((F.col("magnitud") == "hormone activity") & (F.col("codigo") != "TSH")))
-    stated = common.drop("magnitud").join(alias.withColumn("familia", family), "familia")
-    stated = stated.withColumn("a_comun", scale / F.col("comun_a_base"))
-    known = stated.where(F.col("a_comun").isNotNull()).select(
-        "codigo", "unidad_key", F.col("a_comun").alias("factor"), F.lit(0.0).alias("desplazamiento")
-    )
-    known = known.dropDuplicates(["codigo", "unidad_key"])
+    own = F.min_by(F.struct("masa_molar", "comun_a_base", "familia"), "orden").alias("propia")
+    common = common.where("comun_a_base IS NOT NULL").groupBy("codigo").agg(own).select("codigo", "propia.*")
+    stated = common.join(alias.drop("orden").withColumn("familia", family), "familia")
+    stated = stated.withColumn("a_comun", scale / F.col("comun_a_base")).where("a_comun IS NOT NULL")
+    known = stated.groupBy("codigo", "unidad_key").agg(F.min("a_comun").alias("factor"))
+    known = known.withColumn("desplazamiento", F.lit(0.0))
     return known if extra is None else known.unionByName(extra)
 
 

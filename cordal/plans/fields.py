@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cordal.operators.packed_fields import clinical_packed_values
-from cordal.operators.units import CHARGES, UNITS, clinical_common_units, differing_units, thousandths
+from cordal.operators.units import clinical_common_units, differing_units, thousandths
 from cordal.operators.wide import filled_numeric_cells, laboratory_wide
 from cordal.session import table
 
@@ -78,13 +78,30 @@ def _unit(c: str) -> str:
 
 
 _TAIL = "'^(.*\\S)\\s*(?:\\[([^\\[\\]]+)\\]|\\(([^()]+)\\)|\\sen\\s+(\\S.*?))[\\s.:]*$'"
-_ALIAS = ", ".join(f"('{key}', '{quantity}', {factor!r}::DOUBLE)" for quantity, factor, keys in UNITS for key in keys.split())
-_CHARGE = "CASE codigo " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CHARGES.items()) + " ELSE 1 END"
-_NAMES = f"""a(unidad, magnitud, base) AS (VALUES {_ALIAS}),
+#: Units built from prefix, measure and divisor, apart from the operator's list of spellings.
+_ALIAS = """pre(p, pf) AS (VALUES ('', 1e0), ('m', 1e-3), ('u', 1e-6), ('n', 1e-9), ('p', 1e-12), ('mili', 1e-3), ('micro', 1e-6), ('nano', 1e-9), ('pico', 1e-12)),
+len(l, lf) AS (VALUES ('mm', 1e0), ('milimetros', 1e0), ('cm', 1e1), ('cms', 1e1), ('centimetros', 1e1), ('m', 1e3), ('mts', 1e3), ('metros', 1e3)),
+vol(v, vf) AS (VALUES ('/ul', 1e0), ('/mm3', 1e0), ('/l', 1e-6)),
+a(unidad, magnitud, base) AS (
+  SELECT p || g || d, 'mass', pf * 100 / df FROM pre, (VALUES ('g'), ('gr')) AS g(g), (VALUES ('/l', 1e0), ('/dl', 1e-1), ('%', 1e-1), ('/ml', 1e-3)) AS d(d, df)
+  UNION ALL SELECT p || x, 'mole', pf * 1000 FROM pre, (VALUES ('mol/l'), ('moles/l')) AS x(x) UNION ALL SELECT p || 'm', 'mole', pf * 1000 FROM pre WHERE length(p) = 1
+  UNION ALL SELECT 'meq/l', 'charge', 1 UNION ALL SELECT p || 'kat/l', 'activity', pf * 6e7 FROM pre UNION ALL SELECT x, 'activity', 1 FROM (VALUES ('u/l'), ('ui/l')) AS x(x)
+  UNION ALL SELECT p || x || d, 'hormone', pf * 1000 / df FROM pre, (VALUES ('ui'), ('u')) AS x(x), (VALUES ('/l', 1e0), ('/ml', 1e-3)) AS d(d, df) WHERE p <> '' OR x = 'ui'
+  UNION ALL SELECT n || v, 'count', nf * vf FROM vol, (VALUES ('', 1e0), ('cel', 1e0), ('por', 1e0), ('k', 1e3), ('mil', 1e3), ('miles', 1e3), ('10^3', 1e3), ('m', 1e6), ('mill', 1e6), ('millones', 1e6), ('10^6', 1e6), ('10^9', 1e9), ('10^12', 1e12), ('g', 1e9), ('t', 1e12)) AS n(n, nf)
+  UNION ALL SELECT 'pormm3', 'count', 1
+  UNION ALL SELECT u, 'part', f FROM (VALUES ('%', 1e0), ('porciento', 1e0), ('porc', 1e0), ('‰', 1e-1), ('pormil', 1e-1), ('fraccion', 1e2), ('fracc', 1e2), ('l/l', 1e2)) AS u(u, f)
+  UNION ALL SELECT l, 'length', lf FROM len UNION ALL SELECT l || '/' || t, 'speed', lf / 10 FROM len, (VALUES ('s'), ('seg')) AS t(t)
+  UNION ALL SELECT l || '2', 'area', lf * lf / 100 FROM len UNION ALL SELECT l || '/' || t, 'settling', lf FROM len, (VALUES ('h'), ('hora'), ('1rahora')) AS t(t) UNION ALL SELECT 'mm1rahora', 'settling', 1
+  UNION ALL SELECT u, 'volume', f FROM (VALUES ('ml', 1e0), ('cc', 1e0), ('cm3', 1e0), ('l', 1e3), ('lts', 1e3), ('litros', 1e3)) AS u(u, f)
+  UNION ALL SELECT u, 'pressure', f FROM (VALUES ('mmhg', 1e0), ('mmdehg', 1e0), ('kpa', 7.50062e0)) AS u(u, f)
+  UNION ALL SELECT u, 'time', f FROM (VALUES ('s', 1e0), ('seg', 1e0), ('segundos', 1e0), ('min', 6e1), ('minutos', 6e1)) AS u(u, f)
+  UNION ALL SELECT u, 'cell volume', 1 FROM (VALUES ('fl'), ('um3')) AS u(u))"""
+_CHARGE = "CASE WHEN codigo IN ('CAL', 'MAG') THEN 2 ELSE 1 END"
+_NAMES = f"""{_ALIAS},
 r AS (SELECT codigo, ambito, coalesce({_section('seccion')}, '') AS sec, {_unit('unidad_comun')} AS comun, masa_molar / 10 AS m, unnest(list_prepend(nombre, coalesce(sinonimos, []))) AS n FROM analito_ref),
 nombres AS (SELECT DISTINCT codigo, ambito, sec, {_name('n')} AS k FROM r),
 c AS (SELECT DISTINCT codigo, m, a.magnitud AS mag, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END AS cb
-  FROM r JOIN a ON r.comun = a.unidad WHERE a.magnitud <> 'hormone activity' OR codigo = 'TSH'),
+  FROM r JOIN a ON r.comun = a.unidad WHERE (a.magnitud <> 'hormone' OR codigo = 'TSH') AND (a.magnitud <> 'mole' OR m IS NOT NULL)),
 f0 AS (SELECT DISTINCT codigo, a.unidad, CASE a.magnitud WHEN 'mole' THEN base * m WHEN 'charge' THEN base * m / {_CHARGE} ELSE base END / cb AS factor
   FROM c JOIN a ON CASE WHEN a.magnitud IN ('mole', 'charge') THEN 'mass' ELSE a.magnitud END = CASE WHEN mag IN ('mole', 'charge') THEN 'mass' ELSE mag END),
 f AS (SELECT * FROM f0 WHERE factor IS NOT NULL)"""
@@ -92,7 +109,7 @@ _ROWS = f"""filas AS (
   SELECT 'laboratorio_crudo' AS tabla, id_fila, prueba AS nom, seccion AS s, resultado AS t, CAST(NULL AS DOUBLE) AS d, unidades AS u, 'laboratorio' AS amb FROM laboratorio_crudo
   UNION ALL SELECT 'resultado_laboratorio', id_resultado, analito, seccion, valor_texto, valor_num, unidad, 'laboratorio' FROM resultado_laboratorio
   UNION ALL SELECT 'medida_eco', id_medida, nombre, '', valor, NULL, unidad, 'eco' FROM medida_eco),
-p AS (SELECT *, regexp_extract(t, '^\\s*([-+]?[0-9]+(?:[.,][0-9]+)?)\\s*(.*?)\\s*$', ['n', 'c']) AS g, regexp_extract(nom, {_TAIL}, ['b', 'x', 'y', 'z']) AS q FROM filas),
+p AS (SELECT *, regexp_extract(t, '^\\s*(?:(?i:aprox)[.]?\\s*)?([-+]?[0-9]+(?:[.,][0-9]+)?)\\s*(.*?)\\s*$', ['n', 'c']) AS g, regexp_extract(nom, {_TAIL}, ['b', 'x', 'y', 'z']) AS q FROM filas),
 v AS (SELECT *, coalesce(d, TRY_CAST(replace(g.n, ',', '.') AS DOUBLE)) AS valor, CASE WHEN d IS NULL THEN regexp_replace(g.c, '^(?i:en)\\s+', '') END AS cola,
   coalesce({_section('s')}, CASE WHEN s = '' THEN '' END) AS sec, {_name('nom')} AS k1, {_name('q.b')} AS k2 FROM p),
 w AS (SELECT v.*, coalesce(n1.codigo, n2.codigo) AS codigo, coalesce(nullif({_unit('u')}, ''), nullif({_unit('cola')}, ''),

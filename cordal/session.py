@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when it was counted and has at most this many rows.
 BROADCAST_ROWS = 200_000
+#: And, where its content passes the driver, at most this many bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(app: str = "cordal", cpus: str | int = "*", partitions: int = 8) -> SparkSession:
@@ -52,15 +54,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, else unchanged.
 
-    The count stops after ``rows + 1`` rows, so the check itself is bounded.
+    The count stops after ``rows + 1`` rows, so the check itself is bounded. For
+    tables that are read, not derived; see ``lookup``.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def lookup(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Like ``bounded`` for a table derived from a large one: the derivation runs
-    once, its (small) result is kept for the count and for the broadcast."""
-    return bounded(df.persist(), rows)
+    """Like ``bounded`` for a table derived from a large one, bounded in rows and bytes.
+
+    The derivation runs once: at most ``rows + 1`` rows come back as Arrow and
+    become a local relation. Nothing stays cached. A larger table is joined as it is.
+    """
+    found = df.limit(rows + 1).toArrow()
+    if found.num_rows > rows or found.nbytes > BROADCAST_BYTES:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
 _SHIPPED: set[str] = set()
