@@ -1,7 +1,7 @@
 """Entity-attribute-value rows to one wide row per entity, with typed columns.
 
-Attributes are encoded as column indices (a join with the small attribute
-table). Every Arrow batch is reduced to its winning rows before the shuffle, so
+Attributes are encoded as column indices: once per distinct spelling of name and
+section, joined back (broadcast when its counted size is bounded). Every Arrow batch is reduced to its winning rows before the shuffle, so
 an entity that holds a third of all rows sends at most one row per cell and
 batch. After one shuffle by entity the rows are sorted within the partition
 and streamed into sparse columnar builders: per batch one value buffer and one
@@ -27,7 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordal.operators.analytes import analyte_names, name_base, name_key, section_key
-from cordal.session import bounded
+from cordal.session import bounded, lookup
+
+#: A wide table has at most this many attributes.
+MAX_COLUMNS = 10_000
 
 _LONG = "entidad bigint, columna int, fila bigint, num double, texto string, unidad string"
 _LAST = pa.schema(
@@ -117,29 +120,52 @@ def to_wide(rows: DataFrame, names: list[str], cells: tuple[str, ...] = ("valor"
 
 
 def laboratory_rows(results: DataFrame, ref: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Encoded rows of ``resultado_laboratorio`` and the column names in order."""
+    """Encoded rows of ``resultado_laboratorio`` and the column names in order.
+
+    Spellings repeat endlessly: their keys are made once per distinct (name,
+    section), a row only carries its column index.
+    """
     ref = ref.where(F.col("ambito") == "laboratorio")
-    # the attribute list fixes the schema of the result, so the driver has to know it
-    names = [r[0] for r in bounded(ref.select("codigo").distinct(), 10_000).orderBy("codigo").collect()]
-    index = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
+    names = attribute_names(ref)
+    codes = results.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "codigo string, columna int")
     keys = bounded(analyte_names(ref)).select("seccion_key", "nombre_key", "codigo")
-    rows = results.where(
+    full = keys.withColumnRenamed("codigo", "c1")
+    base = keys.select("seccion_key", F.col("nombre_key").alias("base_key"), F.col("codigo").alias("c2"))
+    filled = results.where(
         F.col("id_estudio").isNotNull() & (F.col("valor_num").isNotNull() | F.col("valor_texto").isNotNull())
-    ).select(
+    )
+    spelled = filled.select("analito", "seccion").where("analito IS NOT NULL AND seccion IS NOT NULL").distinct()
+    spelled = (
+        spelled.withColumn("seccion_key", section_key(F.col("seccion")))
+        .withColumn("nombre_key", name_key(F.col("analito")))
+        .withColumn("base_key", name_key(name_base(F.col("analito"))))
+        .join(full, ["seccion_key", "nombre_key"], "left")
+        .join(base, ["seccion_key", "base_key"], "left")
+        .withColumn("codigo", F.coalesce("c1", "c2"))
+        .join(F.broadcast(codes), "codigo")
+        .select("analito", "seccion", "columna")
+    )
+    rows = filled.join(lookup(spelled), ["analito", "seccion"]).select(
         F.col("id_estudio").cast("long").alias("entidad"),
+        "columna",
         F.col("id_resultado").cast("long").alias("fila"),
         F.col("valor_num").cast("double").alias("num"),
         F.col("valor_texto").alias("texto"),
         F.col("unidad").alias("unidad"),
-        section_key(F.col("seccion")).alias("seccion_key"),
-        name_key(F.col("analito")).alias("nombre_key"),
-        name_key(name_base(F.col("analito"))).alias("base_key"),
     )
-    full = keys.withColumnRenamed("codigo", "c1")
-    base = keys.select("seccion_key", F.col("nombre_key").alias("base_key"), F.col("codigo").alias("c2"))
-    rows = rows.join(full, ["seccion_key", "nombre_key"], "left").join(base, ["seccion_key", "base_key"], "left")
-    code = F.coalesce("c1", "c2")
-    return rows.where(code.isNotNull()).withColumn("columna", index[code]), names
+    return rows, names
+
+
+def attribute_names(ref: DataFrame) -> list[str]:
+    """The codes of the attribute table in order: they fix the schema of the result.
+
+    At most ``MAX_COLUMNS`` come to the driver; more attributes than a table can
+    have columns are an error, not a cut.
+    """
+    found = ref.select("codigo").where("codigo IS NOT NULL").distinct().limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} attributes: no wide table")
+    return sorted(r[0] for r in found)
 
 
 def laboratory_wide(results: DataFrame, ref: DataFrame, cells: tuple[str, ...] = ("valor", "unidad", "fila", "texto")) -> DataFrame:
