@@ -3,13 +3,18 @@
 A hidden Markov model labels the characters of a text. There is one clean state
 and one state per encoding pair (the encoding the bytes were in, the encoding
 they were read with). ASCII is the same in every state, so only the other
-characters carry evidence. A state emits a character run with the probability
+characters and some question marks carry evidence. A state emits a character run with the probability
 that clean text would show the *restored* character between its neighbours;
 changing the state costs a fixed log probability. The best labelling is found
 by Viterbi search, and every labelled run gets the inverse transform of its state.
 Runs of several characters (UTF-8 lead and continuation bytes) are emitted as one
-unit. A unit whose continuation is missing, a replacement character, or a
-question mark inside a word marks a loss that the text no longer determines.
+unit. A further state stands for losses: it emits replacement characters and
+question marks where words have letters, which the clean state does not expect
+there outside addresses and queries. A unit of that state, or one whose
+continuation is missing, is a loss that the text no longer determines.
+
+The clean state knows the letters of the language whose function words prevail,
+so clean German, French or Italian is no evidence of a wrong encoding.
 
 Each text is handled alone and whole; the operator is one scan without shuffle.
 
@@ -63,7 +68,7 @@ _WEIGHTS = [
     (-2.0, "ãõçâêôà²±µ½«»¡³"),
     (-2.4, "ÃÕÇÂÊÔÀüẽĩũỹýª"),
     (-2.8, "–—“”‘’…•≤≥·×®©"),
-    (-3.2, "ÜẼĨŨỸÝ€→¼¾èìòùïö ­​‑"),
+    (-3.2, "ÜẼĨŨỸÝ€→¼¾èìòùïöäëîûåøæ ­​‑"),
 ]
 _WEIGHT = {c: w * math.log(10) for w, cs in _WEIGHTS for c in cs}
 _RARE = -7.0 * math.log(10)
@@ -76,11 +81,36 @@ _LOST = -2.0 * math.log(10)
 _KEPT = -7.0 * math.log(10)
 _NOTHING = -1e9
 _USUAL = -2.5 * math.log(10)
-
-_FOREIGN = re.compile(r"[^\x00-\x7f]")
-_REPLACED = re.compile(r"�|[a-záéíóúñ]\?[a-záéíóúñ]|[A-ZÁÉÍÓÚÑ]\?[A-ZÁÉÍÓÚÑ]|\bN\?(?=\s*[0-9])|(?<![\w?])\?[A-Za-z]")
-
-#: Rows that restore() can report: what is not ASCII, and every alternative of _REPLACED in ASCII or wider.
+_FITTING = -1.5 * math.log(10)
+_MARKED = -6.0 * math.log(10)
+_BROKEN = -9.0 * math.log(10)
+_GONE = -1.0 * math.log(10)
+
+LOSS = len(PAIRS)  # index of the state of losses behind those of the pairs
+_LONGEST = 12  # characters of one unit: four bytes, each read as up to three
+
+_LETTER = -1.5 * math.log(10)
+
+#: Function words and further letters of languages beside those of the weights.
+_LANGUAGES = {
+    "es": ("el la los las de del que en con por para una se no y su al es como lo más", ""),
+    "pt": ("o os as de da do que em com por para uma se não e ao na no dos das", ""),
+    "en": ("the of and to in is that for with was on are as at be this", ""),
+    "de": ("der die das und ist für mit den dem ein eine von zu auf nicht im des als bei nach oder über sind wird", "äöüßÄÖÜ"),
+    "fr": ("le la les des et est dans pour une que qui sur avec pas au aux du ce cette sont à il elle", "àâçéèêëîïôùûüœæÀÂÇÉÈÊËÎÏÔÙÛŒ"),
+    "it": ("il lo la di che e in per una con del della non sono gli le è nel alla", "àèéìòùÀÈÉÌÒÙ"),
+}
+_FUNCTION_WORDS = {name: frozenset(words.split()) for name, (words, _) in _LANGUAGES.items()}
+_WORDS = re.compile(r"[^\W\d_]+")
+
+#: Question marks that stand where a letter or sign was lost, unless in an address or query.
+_MARK = re.compile(
+    r"(?<=[a-záéíóúñ])\?(?=[a-záéíóúñ])|(?<=[A-ZÁÉÍÓÚÑ])\?(?=[A-ZÁÉÍÓÚÑ])|(?<=\bN)\?(?=\s*[0-9])|(?<![\w?])\?(?=[A-Za-z])"
+)
+_SEEN = re.compile(r"[^\x00-\x7f]|" + _MARK.pattern)
+_ADDRESS = re.compile(r"://|www\.|[/=&#]|\.[a-z]{2,}\?")
+
+#: Rows that restore() can report, a superset of _SEEN in the JVM's syntax.
 _MAY_BE = r"[^\x00-\x7f]|\p{L}\?\p{L}|N\?[\s\x1c-\x1f]*[0-9]|\?[A-Za-z]"
 
 SCHEMA = "doc_id bigint, pares string, perdida boolean, restaurado string, md5_texto string"
@@ -125,8 +155,8 @@ def _kind(c: str) -> str:
 @lru_cache(maxsize=200_000)
 def plausible(char: str, left: str, right: str) -> float:
     """Log weight of a character of clean text between neighbours of those kinds."""
-    score = _WEIGHT.get(char, _RARE)
-    if score == _RARE:
+    score = _WEIGHT.get(char, _ODD if char >= "\U0001f000" else _RARE)
+    if score == _RARE or char >= "\U0001f000":
         return score
     a, b = left in "lu", right in "lu"
     if char.isalpha() and char not in "ºªµ":
@@ -160,6 +190,39 @@ def _unit(run: str, pair: int, left: str, right: str) -> tuple[float, str] | Non
     return plausible(original, left, right), original
 
 
+def _main_language(text: str) -> str | None:
+    """The language whose function words prevail; None without any or with a tie."""
+    found = _WORDS.findall(text.lower())
+    counts = sorted(((sum(w in words for w in found), name) for name, words in _FUNCTION_WORDS.items()), reverse=True)
+    return counts[0][1] if counts[0][0] > counts[1][0] else None
+
+
+def _token_at(text: str, i: int) -> str:
+    """The run without blanks around a position, up to 200 characters each way."""
+    left, right = text[max(0, i - 200) : i].split(), text[i : i + 200].split()
+    before = left[-1] if left and not text[i - 1].isspace() else ""
+    return before + (right[0] if right else "")
+
+
+def _clean_weight(text: str, i: int, left: str, right: str, letters: str) -> float:
+    """Log weight of the character at ``i`` in clean text."""
+    char = text[i]
+    if char == "?":
+        return _WEIGHT["¿"] if _ADDRESS.search(_token_at(text, i)) else _MARKED
+    if char == "�":
+        return _BROKEN
+    score = plausible(char, left, right)
+    before, after = text[i - 1 : i].lower(), text[i + 1 : i + 2].lower()
+    if char == "ß" and before and before in "aeiouyäöü" and (after in "aeiouyäöütbkpwhfz" or not after.isalpha()):
+        if before != "i" or text[i - 2 : i - 1].lower() == "e":
+            score = max(score, _FITTING)  # behind a vowel only, behind i in "ei"
+    if char == "œ" and after == "u":
+        score = max(score, _FITTING)
+    if char in letters and not (char.isupper() and left == "l") and not (char.islower() and left == "u" and right == "u"):
+        score = max(score, _LETTER)
+    return score
+
+
 @lru_cache(maxsize=1000)
 def _leads(pair: int) -> frozenset[str]:
     """What the lead bytes of two-byte Latin characters look like in this pair."""
@@ -181,16 +244,19 @@ def _loss(text: str, i: int) -> float:
 
 
 def label(text: str) -> list[tuple[int, int, int, str | None]]:
-    """Units not labelled clean: (start, end, pair, restored character or None if lost)."""
-    at = [m.start() for m in _FOREIGN.finditer(text)]
+    """Units not labelled clean: (start, end, pair or LOSS, restored character or None if lost)."""
+    at = [m.start() for m in _SEEN.finditer(text)]
     n = len(at)
     if not n:
         return []
     kind = lambda i: _kind(text[i]) if 0 <= i < len(text) else "s"
-    clean = [plausible(text[i], kind(i - 1), kind(i + 1)) for i in at]
+    clean = [_clean_weight(text, i, kind(i - 1), kind(i + 1), "") for i in at]
     if min(clean) > _USUAL:
         return []
-    states = range(len(PAIRS) + 1)  # 0 is clean
+    letters = _LANGUAGES.get(_main_language(text) or "", ("", ""))[1]
+    if letters:
+        clean = [_clean_weight(text, i, kind(i - 1), kind(i + 1), letters) for i in at]
+    states = range(len(PAIRS) + 2)  # 0 is clean, the last one is for losses
     best = [[_NOTHING] * len(states) for _ in range(n + 1)]
     back: list[list[tuple | None]] = [[None] * len(states) for _ in range(n + 1)]
     best[0][0] = 0.0
@@ -212,7 +278,7 @@ def label(text: str) -> list[tuple[int, int, int, str | None]]:
             reach.append(max(options))
         i = at[k]
         run = 1
-        while run < 8 and k + run < n and at[k + run] == i + run:
+        while run < _LONGEST and k + run < n and at[k + run] == i + run:
             run += 1
         for s in states:
             base, source = reach[s]
@@ -222,8 +288,12 @@ def label(text: str) -> list[tuple[int, int, int, str | None]]:
                 if base + clean[k] > best[k + 1][0]:
                     best[k + 1][0], back[k + 1][0] = base + clean[k], (k, source, text[i])
                 continue
+            if s - 1 == LOSS:
+                if text[i] in "?�" and base + _GONE > best[k + 1][s]:
+                    best[k + 1][s], back[k + 1][s] = base + _GONE, (k, source, None)
+                continue
             true, _, times = PAIRS[s - 1]
-            sizes = (1,) if true != "utf-8" else ((2, 3) if times == 1 else (4, 5, 6, 7))
+            sizes = (1,) if true != "utf-8" else (range(2, 5) if times == 1 else range(4, _LONGEST + 1))
             for size in sizes:
                 if size > run:
                     break
@@ -245,11 +315,10 @@ def label(text: str) -> list[tuple[int, int, int, str | None]]:
 def restore(text: str) -> tuple[str, bool, str | None] | None:
     """(pairs found, lost, restored text) of an affected text; None if it is clean."""
     units = label(text)
-    lost = _REPLACED.search(text) is not None or any(u[3] is None for u in units)
-    if not units and not lost:
+    if not units:
         return None
-    names = ",".join(sorted({"{}>{}x{}".format(*PAIRS[u[2]]) for u in units}))
-    if lost:
+    names = ",".join(sorted({"{}>{}x{}".format(*PAIRS[u[2]]) for u in units if u[2] != LOSS}))
+    if any(u[3] is None for u in units):
         return names, True, None
     parts, end = [], 0
     for a, b, _, original in units:
