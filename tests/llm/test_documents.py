@@ -108,7 +108,7 @@ def test_stretches_do_not_overlap():
 def test_leaked_items_in_blocks(spark):
     docs = spark.createDataFrame([(1, ITEM), (1, ITEM), (2, None), (3, "nada"), (4, "abc " + ITEM)], "doc_id long, text string")
     items = spark.createDataFrame([(7, ITEM), (8, None), (9, "otra frase que no aparece"), (10, "")], "item_id long, texto string")
-    for block in (1, 100):
+    for block in (60, 1 << 20):
         got = sorted((r.doc_id, r.item_id) for r in leaked_items(docs, items, block).collect())
         assert got == [(1, 7), (4, 7)]
 
@@ -171,3 +171,15 @@ def test_garbled_stretch_and_losses(spark):
     assert got[1].md5_texto == hashlib.md5((whole * 5).encode()).hexdigest()
     assert got[8].restaurado == whole * 3001
     assert [got[i].md5_texto for i in (2, 3, 4)] == ["", "", ""]
+
+
+def test_answers_are_reported_behind_their_question_only():
+    items = [(1, ITEM, "digital oral"), (2, "otra pregunta sobre el ritmo nodal acelerado", "B")]
+    text = "digital oral. " + ITEM + " Respuesta: Digital  oral."
+    (item, _, cut), = Scanner(items).scan(text)
+    assert item == 1 and text[cut[4] : cut[5]] == "Digital  oral"
+    text = "b a la Otra pregunta sobre el ritmo nodal acelerado, va b o no: B"
+    (item, _, cut), = Scanner(items).scan(text)
+    assert item == 2 and text[cut[4] : cut[5]] == "B" and cut[4] == len(text) - 1
+    assert list(Scanner(items).scan("digital oral, B")) == []  # an answer alone is no leak
+    assert list(Scanner([(3, ITEM, None)]).scan(ITEM))[0][2][4:] == [None, None]
