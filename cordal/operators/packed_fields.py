@@ -5,8 +5,8 @@ The plan has three steps.
 1. *Skeleton.* Ordinary characters are masked (numbers, words), delimiters,
    quotes and placeholders stay. This is a chain of JVM regular expressions.
 2. *Rule.* The distinct skeletons are few (they depend on the grammar of the
-   writers, not on the number of rows). Each gets one splitting rule; the rule
-   table is joined back, broadcast only when its counted size is bounded.
+   writers, not on the number of rows). Each gets one splitting rule; the rules are made once
+   and broadcast when their size is bounded, else joined.
 3. *Extraction.* The rule names ordinals of the extracted places; values are
    cut out with ``regexp_extract_all`` / ``split`` and exploded with position.
 
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cordal.session import bounded
+from cordal.session import lookup
 
 #: Words that state a limit and are therefore no label of a band.
 RELATION_WORDS = "hasta|desde|a|de|mayor|menor|entre|y"
@@ -39,6 +39,12 @@ RULE_SCHEMA = "skeleton string, mode string, delim string, places array<struct<p
 
 _INTEGER = r"(?<![0-9])[-−]?[0-9]+"
 _QUOTED = r'"((?:[^"]|"")*)"|\'((?:[^\']|\'\')*)\''
+#: What a text with two places has at least, found in one pass: two numbers; or
+#: quotes, or a number, a delimiter, and behind it a label with its number.
+_MAY_PACK = {
+    "integers": "[0-9][^0-9]+[0-9]",
+    "bands": r"[\"']|^[^0-9]*+[0-9][^\n\r\t|;/,]*+[\n\r\t|;/,]\P{L}*+\p{L}[^0-9]*+[0-9]",
+}
 _HARD = ["/", ";", "|", "\t", "\n", "\\", "⁄", ","]
 
 
@@ -142,11 +148,10 @@ def split_packed(df: DataFrame, id_col: str, text_col: str, campo: str, kind: st
     rows = df.select(
         F.col(id_col).cast("long").alias("id_fila"), F.col(text_col).cast("string").alias("texto")
     ).where(F.col("texto").isNotNull() & (F.trim("texto") != ""))
-    if kind == "integers":
-        rows = rows.where(F.col("texto").rlike("[0-9][^0-9]+[0-9]"))
+    rows = rows.where(F.col("texto").rlike(_MAY_PACK[kind]))
     rows = rows.withColumn("skeleton", skeleton(F.col("texto")))
     rules = rows.select("skeleton").distinct().mapInPandas(_resolve(rule), RULE_SCHEMA).where("size(places) > 1")
-    hits = rows.join(bounded(rules), "skeleton").select("id_fila", "texto", "mode", "delim", "places").distinct()
+    hits = rows.join(lookup(rules), "skeleton").select("id_fila", "texto", "mode", "delim", "places").distinct()
     if kind == "integers":
         found = F.regexp_extract_all("texto", F.lit(_INTEGER), F.lit(0))
     else:
