@@ -8,6 +8,11 @@ permuted within the days of a fixed range. Names, addresses and e-mails have no
 closed format; they get a typed placeholder. Each text is handled whole and
 alone: one scan, no shuffle.
 
+Names are found by structure: capital words in a row, initials, surnames before a
+comma; titles, labels, kinship and verbs in front, other data behind. A list of
+usual given names is one feature among these: it fixes where a name begins and
+lets names without capitals and without a cue be found.
+
 Defined results
 ---------------
 * null or empty text: no spans, the text as it is.
@@ -47,10 +52,10 @@ _UP = "A-ZÁÉÍÓÚÑÜ"
 _LOW = "a-záéíóúñü"
 _STREET = rf"(?:(?:[Dd]el?|DEL?|[Ll]as?|LAS?|[Ll]os|LOS)[ ])*[{_UP}][{_UP}{_LOW}'’.]+(?:[ ](?:(?:[Dd]el?|DEL?|[Ll]as?|LAS?|[Ll]os|LOS)[ ])*[{_UP}][{_UP}{_LOW}'’]+){{0,3}}"
 _FLAT = r"(?:,?[ ](?:[Pp]iso|PISO)[ ]\d{1,2}(?:,?[ ](?:[Dd]e?pto\.?|DE?PTO\.?)[ ]\w{1,2}\b)?|,?[ ]\d{1,2}°(?:[ ]?[A-Z]\b)?)?"
-_ADDRESS = [
-    re.compile(rf"(?i:\b(?:calle|avenida|av\.|avda\.|bv\.|bulevar|boulevard|pje\.|pasaje|diagonal))[ ]{_STREET}[ ](?:(?i:al|n[°º]|nro\.?)[ ]?)?\d+{_FLAT}"),
-    re.compile(rf"(?i:\bB[°º]|\bbarrio)[ ]{_STREET}[ ](?i:Mz\.?|manzana)[ ]\w+[ ](?i:casa|lote)[ ]\w+"),
-    re.compile(r"(?i)\bruta[ ](?:provincial|nacional)[ ]\d+[ ]km[ ]\d+(?:[.,]\d+)?"),
+_ADDRESS = [  # what every match holds, and the pattern
+    (("calle", "av", "bv", "bulevar", "boulevard", "pje", "pasaje", "diagonal"), re.compile(rf"(?i:\b(?:calle|avenida|av\.|avda\.|bv\.|bulevar|boulevard|pje\.|pasaje|diagonal))[ ]{_STREET}[ ](?:(?i:al|n[°º]|nro\.?)[ ]?)?\d+{_FLAT}")),
+    (("b°", "bº", "barrio"), re.compile(rf"(?i:\bB[°º]|\bbarrio)[ ]{_STREET}[ ](?i:Mz\.?|manzana)[ ]\w+[ ](?i:casa|lote)[ ]\w+")),
+    (("ruta",), re.compile(r"(?i)\bruta[ ](?:provincial|nacional)[ ]\d+[ ]km[ ]\d+(?:[.,]\d+)?")),
 ]
 _PLAIN_ADDRESS = re.compile(rf"{_STREET}[ ](?:(?i:al|n[°º])[ ]?)?\d+{_FLAT}")
 _ADDRESS_CUE = re.compile(r"(?i)(?:\bvive[ ]en|\bdomicilio[^:\n]{0,20}:|\bubicable:|\bmudanza[ ]a|\bavisar[ ]en|\bdesde|\bdirecci[oó]n[^:\n]{0,20}:)\s+")
@@ -70,50 +75,224 @@ _TAX_SHAPE = re.compile(r"(?:20|2[3-7]|3[034])([ .-]?)\d{8}\1\d")
 _DATE = re.compile(r"\b(\d{1,2})([/-])(\d{1,2})\2(\d{4})\b")
 
 
-def _accentless(word: str) -> str:
-    """A pattern for the word with or without its accents."""
-    return "".join(f"[{c}{bare(c)}]" if bare(c) != c.lower() or bare(c) != c else c for c in word)
-
-
-def _alternatives(names: list[str]) -> str:
-    return "|".join(sorted({_accentless(n) for n in names}, key=len, reverse=True))
-
+_WORD = rf"[{_UP}](?:[{_LOW}]{{2,}}|[{_UP}]{{2,}})(?:-[{_UP}](?:[{_LOW}]+|[{_UP}]+))?(?![{_UP}{_LOW}\d])"
+_OF = r"(?:(?:de|del|de[ ]la|de[ ]los|DE|DEL|DE[ ]LA)[ ])?"
+_INITIALS = rf"(?:[{_UP}]\.[ ]?){{1,2}}"
+#: Capital words and initials in a row on one line, with particles and commas between them.
+_RUN = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])(?:{_INITIALS}{_OF})?{_WORD}(?:(?:,[ ]|[ ]{_OF})(?:{_WORD}|[{_UP}]\.))*")
+_PIECE = re.compile(rf"{_WORD}|[{_UP}]\.")
+
+#: Given names of the list, as they are compared (lower case, without accents).
+_GIVEN = frozenset(bare(n) for n in [*GIVEN_NAMES, *(s for v in NICKNAMES.values() for s in v.split() if len(s) > 3 and s.isascii())])
+_OPENERS = frozenset(bare(w) for w in SENTENCE_OPENERS)
+#: Nouns whose capital followers name a place, a house or a thing, not a person.
+_THINGS = frozenset(
+    "policlinico sanatorio clinica centro instituto maternidad laboratorio unidad sala consultas hospital escala indice sonda"
+    " fundacion servicio regla signo barrio plaza avenida calle ruta pasaje obra equipo reactivo protocolo serie turno"
+    " provincia ciudad municipio universidad escuela facultad catedra hogar residencia puesto dispensario".split()
+)
+#: What stands in front of a name. Titles and labels are never followed by a verb.
+_TITLES = frozenset(
+    "dr dra sr sra srta lic prof ing enf téc tec obst don doña doctor doctora señor señora señorita licenciado licenciada profesor profesora".split()
+)
+_LABEL = re.compile(
+    r"(?i)(?:\bnombre(?:[ ]y[ ]apellido)?(?:[ ]de)?|\bapellido(?:[ ]y[ ]nombre)?|\bfirma(?:d[oa])?(?:[ ]por)?|\bm[eé]dic[oa](?:[ ]\w+)?|\bsolicitante|\btitular"
+    r"|\bresponsable|\bpaciente|\boperadora?|\binform[oó]|\brealiz[oó]|\bacompañante|\bcontacto|\bfamiliar|\btutora?|\batte)\s*[:(]\s*$|\ba[ ]nombre[ ]de[ ]$"
+)
+_CUE = re.compile(
+    r"(?i)(?:\b(?:hij[oa]|herman[oa]|espos[oa]|c[oó]nyuge|madre|padre|mam[aá]|pap[aá]|t[ií][oa]|abuel[oa]|niet[oa]|sobrin[oa]|prim[oa]|pareja|marido|mujer"
+    r"|novi[oa]|cuñad[oa]|suegr[oa]|yerno|nuera|vecin[oa]|amig[oa]|cuidadora?|chofer|remisero|enfermer[oa]|t[eé]cnic[oa]|m[eé]dic[oa]|paciente)[,:]?"
+    r"|\b(?:corresponde|pertenece|avisa[r]?|avisado|entrega(?:do)?|llama[r]?|derivad[oa])[ ]a|\bcasa[ ]de|\bpedido[ ]de|\b[a-zñ]+[aií]d[oa][ ]por|\bcopia[ ](?:para|a)"
+    r"|#[ ]?\(|\b[a-zñ]+ad[oa][ ]con|\bhabl[oó][ ]con|\bseg[uú]n(?:[ ][a-zñ]+)?|\bretira|\bacompaña|\bsu)[ ]\(?$|#[ ]?\($"
+)
+#: Verbs of what people do, behind a name.
+_ACTS = re.compile(r"[ ](?:autoriza|espera|firma|retira|refiere|solicita|concurre|acude|informa|pide|llega|consulta|vive|dice|viene|vino|trae|trajo|indica)n?\b")
+_NOT_NAMED = re.compile(
+    r"(?i)\b(?:signo|regla|escala|[ií]ndice|maniobra|m[eé]todo|f[oó]rmula|criterios?|ley|s[ií]ndrome|enfermedad|prueba|test|servicio|barrio|calle|ciudad"
+    r"|localidad|provincia|hospital|cl[ií]nica|sanatorio|policl[ií]nico|centro|instituto|fundaci[oó]n|escuela|universidad|equipo|sonda|v[aá]lvula)[ ](?:de[ ]la[ ]|del?[ ]|n[°º][ ])?$"
+)
+_LOWER_NAME = re.compile(rf"([{_LOW}]{{3,}})((?:[ ](?:(?:de|del|de la)[ ])?[{_LOW}]{{4,}}|[ ][{_LOW}]\.){{1,3}})(?![{_UP}{_LOW}])")
 
-_NAMES = sorted({*GIVEN_NAMES, *(s for v in NICKNAMES.values() for s in v.split() if len(s) > 3 and s.isascii())})
-_GT = f"(?:{_alternatives(_NAMES)})"
-_GU = f"(?:{_alternatives([n.upper() for n in _NAMES])})"
-_GL = f"(?:{_alternatives([n.lower() for n in _NAMES])})"
-_STOP = "(?!(?:" + "|".join(sorted({_accentless(w) for w in SENTENCE_OPENERS} | {_accentless(w.upper()) for w in SENTENCE_OPENERS}, key=len, reverse=True)) + rf")(?![{_UP}{_LOW}]))"
-_ST = rf"{_STOP}(?!{_GT}(?![{_UP}{_LOW}]))[{_UP}][{_LOW}]{{2,}}(?:-[{_UP}][{_LOW}]+)?(?![{_UP}{_LOW}])"
-_SU = rf"{_STOP}(?!{_GU}(?![{_UP}{_LOW}]))[{_UP}]{{3,}}(?:-[{_UP}]{{2,}})?(?![{_UP}{_LOW}])"
-_SL = rf"[{_LOW}]{{4,}}(?![{_UP}{_LOW}])"
-_END = rf"(?![{_UP}{_LOW}])"
-_OF = r"(?:(?:de|del|de la|DE|DEL|DE LA)[ ])?"
-_PERSON = [
-    rf"{_ST}(?:[ ]{_OF}{_ST})?,[ ]{_GT}{_END}(?:[ ]{_GT}{_END}|[ ][{_UP}]\.)?",
-    rf"{_SU}(?:[ ]{_OF}{_SU})?,[ ]{_GU}{_END}(?:[ ]{_GU}{_END}|[ ][{_UP}]\.)?",
-    rf"{_SU}(?:[ ]{_OF}{_SU})?[ ]{_GT}{_END}(?:[ ]{_GT}{_END})?",
-    rf"{_GT}{_END}(?:[ ]{_GT}{_END}|[ ][{_UP}]\.)?(?:[ ]{_OF}(?:{_ST}|{_SU})){{1,2}}",
-    rf"{_GU}{_END}(?:[ ]{_GU}{_END}|[ ][{_UP}]\.)?(?:[ ]{_OF}{_SU}){{1,2}}",
-    rf"(?:[{_UP}]\.[ ]?){{1,2}}{_OF}(?:{_ST}|{_SU})(?:[ ]{_OF}(?:{_ST}|{_SU}))?",
-]
-_PERSON_ANY = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])(?:" + "|".join(_PERSON) + ")")
-_LOWER_PERSON = re.compile(rf"(?<![{_UP}{_LOW}.@+\d-]){_GL}{_END}(?:[ ]{_GL}{_END}|[ ][{_LOW}]\.)?(?:[ ](?:(?:de|del|de la)[ ])?{_SL}){{1,2}}")
-_WORDS = re.compile(r"[^\W\d_]+")
-_INITIAL = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])[{_UP}]\.")
-_NAME_WORDS = frozenset(x for n in _NAMES for x in (n.lower(), bare(n)))
+#: Words after which a span of lower-case words is no surname.
+_LOWER_STOP = {
+    "autoriza", "espera", "desde", "para", "presentado", "vienen", "figura", "tolera", "firma", "vive", "retira", "conforme",
+    "teléfono", "telefono", "resultado", "sobre", "como", "documento", "este", "esta", "queda", "solicita", "refiere", "acude",
+    "concurre", "informa", "indica", "pide", "llega", "trae", "consulta", "presenta", "tiene", "dice", "acompaña", "entrega",
+    "quien", "donde", "cuando", "porque", "hasta", "hacia", "entre", "según", "durante", "mediante", "pero", "también", "misma",
+    "mismo", "debe", "puede", "será", "está", "fue", "años", "con", "por", "que", "los", "las", "una", "del", "sin", "muy",
+}
 
 
-def _may_name(text: str) -> bool:
-    """Whether any person pattern can match: each of them needs a given name or an initial."""
-    return _INITIAL.search(text) is not None or not _NAME_WORDS.isdisjoint(_WORDS.findall(text.lower()))
+_LOWER_GIVEN = frozenset(x for n in GIVEN_NAMES for x in (n.lower(), bare(n))) | frozenset(n for n in _GIVEN)
+_LOWER_WORD = re.compile(rf"[{_LOW}]{{3,}}")
+#: A title, a label or "a nombre de" in front of a word without capitals.
+_LOWER_CUE = re.compile(
+    rf"(?:(?i:\b(?:{'|'.join(sorted(_TITLES, key=len, reverse=True))})\.?[ ]|\ba[ ]nombre[ ]de[ ])|(?i:\b(?:paciente|firma|nombre|m[eé]dic[oa]|solicitante|titular)):[ ]*)(?=[{_LOW}]{{3}})"
+)
 
 
-#: Words after which a span of lower-case words is no surname.
-_LOWER_STOP = {
-    "autoriza", "espera", "desde", "para", "presentado", "vienen", "figura", "tolera", "firma", "vive", "retira",
-    "conforme", "teléfono", "telefono", "resultado", "sobre", "como", "documento", "este", "esta", "queda",
-}
+def _titled(before: str) -> bool:
+    """Whether a text ends with a title and a blank."""
+    if before[-1:] != " ":
+        return False
+    words = before[-16:].split()
+    return bool(words) and words[-1].lower().strip("(.") in _TITLES
+
+
+class _Token:
+    """A capital word or initial of a run."""
+
+    __slots__ = ("a", "b", "given", "initial", "key", "upper")
+
+    def __init__(self, a: int, b: int, word: str):
+        self.a, self.b, self.key = a, b, bare(word)
+        self.initial = word[-1] == "."
+        self.given, self.upper = self.key in _GIVEN, word.isupper()
+
+
+def _surnames(tokens: list[_Token], at: int, most: int = 2) -> int:
+    """How many tokens from ``at`` on may be surnames."""
+    n = 0
+    while n < most and at + n < len(tokens):
+        t = tokens[at + n]
+        if t.initial or t.given or t.key in _OPENERS:
+            break
+        n += 1
+    return n
+
+
+def _name_in(tokens: list[_Token], before: str, after: str) -> tuple[int, int] | None:
+    """The span of the first name that a row of capital words without comma holds."""
+    cued = _titled(before) or _LABEL.search(before) or _CUE.search(before)
+    while tokens and not tokens[0].given and not tokens[0].initial and tokens[0].key in _OPENERS:
+        if tokens[0].key in _THINGS:
+            return None
+        cued = cued or tokens[0].key in _CAPITAL_CUES
+        tokens = tokens[1:]
+    if not tokens:
+        return None
+    if tokens[0].initial:
+        n = 2 if len(tokens) > 1 and tokens[1].initial else 1
+        m = _surnames(tokens, n)
+        return (tokens[0].a, tokens[n + m - 1].b) if m else None
+    g = next((i for i, t in enumerate(tokens) if t.given), None)
+    middle = next((i for i, t in enumerate(tokens) if t.initial), None)
+    if g is None and middle == 1 and (m := _surnames(tokens, 2)) and not _NOT_NAMED.search(before):
+        return tokens[0].a, tokens[m + 1].b  # "Xxxx Y. Zzzz", whatever the first word is
+    if g is not None:
+        n = g + 1
+        if n < len(tokens) and (tokens[n].given and tokens[n].upper == tokens[g].upper or tokens[n].initial):
+            n += 1
+        ahead = [t for t in tokens[max(0, g - 2) : g] if t.upper and t.key not in _OPENERS]
+        if ahead and (ahead[-1] is tokens[g - 1]) and not (tokens[g].upper and _surnames(tokens, n) and not cued):
+            return ahead[0].a, tokens[n - 1].b
+        m = _surnames(tokens, n)
+        if tokens[g].upper:
+            m = next((i for i in range(m) if not tokens[n + i].upper), m)
+        if m:
+            return tokens[g].a, tokens[n + m - 1].b
+        if g and cued and g <= 2 and not any(t.key in _OPENERS for t in tokens[:g]):
+            return tokens[0].a, tokens[g].b
+        return None
+    m = _surnames(tokens, 0, 4)
+    if tokens[0].key in _THINGS or _NOT_NAMED.search(before) or re.match(r"[ ]\d", after) and m == len(tokens):
+        return None
+    if m >= 2 and (cued or "#" in after or not tokens[0].upper or not tokens[m - 1].upper) and m == len(tokens):
+        return tokens[0].a, tokens[m - 1].b
+    if m >= 2 and cued:
+        return tokens[0].a, tokens[m - 1].b
+    return (tokens[0].a, tokens[0].b) if m == 1 and _titled(before) else None
+
+
+#: Sentence openers behind which a name follows at once.
+_CAPITAL_CUES = frozenset("paciente firma retira acompaña acompana avisar contacto copia firmado solicita solicitante informa".split())
+
+
+def _people(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of names in a text whose other data are masked by ``#``."""
+    for run in _RUN.finditer(text):
+        a, b = run.span()
+        whole = run.group()
+        if " " not in whole and "." not in whole and not _titled(text[max(0, a - 14) : a]):
+            continue
+        parts, end = [], a
+        for m in _PIECE.finditer(text, a, b):
+            token = _Token(*m.span(), m.group())
+            if not parts or text[end : token.a].startswith(","):
+                parts.append([])
+            parts[-1].append(token)
+            end = token.b
+        i = 0
+        while i < len(parts):
+            first, start = parts[i], parts[i][0].a
+            before = text[max(0, start - 40) : start].rpartition("\n")[2]
+            if i + 1 < len(parts) and (found := _comma_name(first, parts[i + 1], before, text)):
+                yield found
+                i += 2
+                continue
+            after = text[first[-1].b : first[-1].b + 3]
+            while first and (found := _name_in(first, before, after)):
+                yield found
+                first, before = [t for t in first if t.a >= found[1]], ""
+            i += 1
+
+
+def _comma_name(left: list[_Token], right: list[_Token], before: str, text: str) -> tuple[int, int] | None:
+    """The span of ``surnames, given names``; a number behind makes the right part a street."""
+    cued = False
+    while len(left) > 1 and left[0].key in _OPENERS:
+        cued = cued or left[0].key in _CAPITAL_CUES
+        left = left[1:]
+    own = left[-2:] if len(left) > 1 and left[-2].upper == left[-1].upper else left[-1:]
+    if any(t.given or t.initial or t.key in _OPENERS for t in own) or len(own) < len(left) and not own[0].upper:
+        return None
+    n = 1
+    if len(right) > 1 and (right[1].given or right[1].initial):
+        n = 2
+    if right[0].initial or right[0].upper != own[0].upper:
+        return None
+    if not right[0].given:
+        cued = cued or _titled(before) or _LABEL.search(before) or _CUE.search(before)
+        street = re.match(r"(?:[ ][^\W\d_]+){0,2}[ ]?\d", text[right[-1].b : right[-1].b + 30])
+        behind = text[right[n - 1].b : right[n - 1].b + 3]
+        cued = cued or "#" in behind or _ACTS.match(text, right[n - 1].b)
+        longer = len(right) > n and right[n].key not in _OPENERS
+        if not cued or len(own) < len(left) or street or longer or right[0].key in _OPENERS or right[0].key in _THINGS:
+            return None
+    return own[0].a, right[n - 1].b
+
+
+def _lower_people(text: str) -> Iterator[tuple[int, int]]:
+    """Names typed without capitals: behind a title or label, or with a listed given name."""
+    starts = {m.end() for m in _LOWER_CUE.finditer(text)}
+    for word in _LOWER_GIVEN.intersection(_LOWER_WORD.findall(text)):
+        at = text.find(word)
+        while at >= 0:
+            starts.add(at)
+            at = text.find(word, at + 1)
+    end = 0
+    for a in sorted(starts):
+        m = _LOWER_NAME.match(text, a)
+        if not m or a < end or a and (text[a - 1].isalnum() or text[a - 1] in ".@+-"):
+            continue
+        if m.group(1) in _LOWER_STOP:
+            continue
+        words = m.group().split(" ")
+        n, surnames = 1, 0
+        if n < len(words) and (words[n] in _LOWER_GIVEN or words[n][-1] == "."):
+            n += 1
+        while n < len(words) and surnames < 2:
+            if words[n] in ("de", "del", "la"):
+                n += 1
+                continue
+            if words[n] in _LOWER_STOP or words[n][-1] == ".":
+                break
+            n, surnames = n + 1, surnames + 1
+        while words[n - 1] in ("de", "del", "la"):
+            n -= 1
+        if surnames:
+            end = a + len(" ".join(words[:n]))
+            yield a, end
 
 
 def _feistel(digits: str, key: bytes, tweak: str) -> str:
@@ -239,29 +418,27 @@ def find(text: str) -> list[tuple[int, int, str]]:
     if _AT.search(text):
         for m in _EMAIL.finditer(text):
             take(*m.span(), "EMAIL_ADDRESS")
-    for pattern in _ADDRESS:
-        for m in pattern.finditer(text):
-            take(*m.span(), "STREET_ADDRESS")
+    low = text.lower()
+    for heads, pattern in _ADDRESS:
+        if any(h in low for h in heads):
+            for m in pattern.finditer(text):
+                take(*m.span(), "STREET_ADDRESS")
     for m in _ADDRESS_CUE.finditer(text):
         if found := _PLAIN_ADDRESS.match(text, m.end()):
             take(*found.span(), "STREET_ADDRESS")
     for a, b, kind in _numbers(text):
         take(a, b, kind)
-    if not _may_name(text):
-        return sorted(taken)
-    rest = list(text)
-    for a, b, _ in taken:
-        rest[a:b] = "#" * (b - a)
-    rest = "".join(rest)
-    for m in _PERSON_ANY.finditer(rest):
-        take(*m.span(), "PERSON")
-    for m in _LOWER_PERSON.finditer(rest):
-        a, b = m.span()
-        words = text[a:b].split(" ")
-        while len(words) > 2 and words[-1] in _LOWER_STOP:
-            words.pop()
-        if len(words) >= 2 and words[-1] not in _LOWER_STOP:
-            take(a, a + len(" ".join(words)), "PERSON")
+    rest = text
+    if taken:
+        cut, end = [], 0
+        for x, y, _ in sorted(taken):
+            cut += [text[end:x], "#" * (y - x)]
+            end = y
+        rest = "".join(cut) + text[end:]
+    for x, y in _people(rest):
+        take(x, y, "PERSON")
+    for x, y in _lower_people(rest):
+        take(x, y, "PERSON")
     for x, y, kind in list(taken):  # "… en la casa de NAME, STREET 12"
         if kind == "PERSON" and text[y : y + 2] == ", ":
             if found := _PLAIN_ADDRESS.match(text, y + 2):
