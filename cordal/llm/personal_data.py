@@ -60,7 +60,9 @@ _ADDRESS = [  # what every match holds, and the pattern
 _PLAIN_ADDRESS = re.compile(rf"{_STREET}[ ](?:(?i:al|n[°º])[ ]?)?\d+{_FLAT}")
 _ADDRESS_CUE = re.compile(r"(?i)(?:\bvive[ ]en|\bdomicilio[^:\n]{0,20}:|\bubicable:|\bmudanza[ ]a|\bavisar[ ]en|\bdesde|\bdirecci[oó]n[^:\n]{0,20}:)\s+")
 
-_NUMBER = re.compile(r"[+(]?\d(?:[ ]?[()./-]?[ ]?\d)*\)?(?:[ ]+(?i:int|interno|ext)\.?[ ]*\d+)?")
+_DIGIT = r"(?:[ ]?[()./-]?[ ]?\d)"
+_EXTENSION = r"[ ]+(?i:int|interno|ext)\.?[ ]*\d+"
+_NUMBER = re.compile(rf"[+(]?\d(?:{_DIGIT}{{5,}}\)?(?:{_EXTENSION})?|{_DIGIT}{{3,4}}\)?{_EXTENSION})")  # six digits and more
 _NOT_PERSONAL = re.compile(
     r"(?i)(?:\bn[°ºro.]*|\bestudio|\bprotocolo|\blote|\bdisco|\bserie|\binterna|\bescala(?:[ ]\w+)?|\bturno|\bbox|\bequipo(?:[ ]\w+)?"
     r"|\bfactor|\b[ií]ndice(?:[ ](?:de[ ])?\w+)?|\bsonda[ ]de|\bgrabado[ ]el|\bgradiente|\bpico[ ]de)[ :]*[A-Z]?-?$"
@@ -78,8 +80,9 @@ _DATE = re.compile(r"\b(\d{1,2})([/-])(\d{1,2})\2(\d{4})\b")
 _WORD = rf"[{_UP}](?:[{_LOW}]{{2,}}|[{_UP}]{{2,}})(?:-[{_UP}](?:[{_LOW}]+|[{_UP}]+))?(?![{_UP}{_LOW}\d])"
 _OF = r"(?:(?:de|del|de[ ]la|de[ ]los|DE|DEL|DE[ ]LA)[ ])?"
 _INITIALS = rf"(?:[{_UP}]\.[ ]?){{1,2}}"
-#: Capital words and initials in a row on one line, with particles and commas between them.
-_RUN = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])(?:{_INITIALS}{_OF})?{_WORD}(?:(?:,[ ]|[ ]{_OF})(?:{_WORD}|[{_UP}]\.))*")
+#: Two or more capital words and initials in a row on one line, with particles and commas between them.
+_NEXT = rf"(?:,[ ]|[ ]{_OF})(?:{_WORD}|[{_UP}]\.)"
+_RUN = re.compile(rf"(?<![{_UP}{_LOW}.@+\d])(?:{_INITIALS}{_OF}{_WORD}(?:{_NEXT})*|{_WORD}(?:{_NEXT})+)")
 _PIECE = re.compile(rf"{_WORD}|[{_UP}]\.")
 
 #: Given names of the list, as they are compared (lower case, without accents).
@@ -125,10 +128,13 @@ _LOWER_STOP = {
 
 _LOWER_GIVEN = frozenset(x for n in GIVEN_NAMES for x in (n.lower(), bare(n))) | frozenset(n for n in _GIVEN)
 _LOWER_WORD = re.compile(rf"[{_LOW}]{{3,}}")
-#: A title, a label or "a nombre de" in front of a word without capitals.
-_LOWER_CUE = re.compile(
-    rf"(?:(?i:\b(?:{'|'.join(sorted(_TITLES, key=len, reverse=True))})\.?[ ]|\ba[ ]nombre[ ]de[ ])|(?i:\b(?:paciente|firma|nombre|m[eé]dic[oa]|solicitante|titular)):[ ]*)(?=[{_LOW}]{{3}})"
+#: A title (group 1), or a label or "a nombre de", in front of a word.
+_CUED = re.compile(
+    rf"(?i)(?:\b({'|'.join(sorted(_TITLES, key=len, reverse=True))})\.?[ ]|\ba[ ]nombre[ ]de[ ]|\b(?:paciente|firma|nombre|m[eé]dic[oa]|solicitante|titular):[ ]*)(?=[^\W\d_]{{3}})"
 )
+#: What every cue holds, in lower case.
+_CUE_PARTS = ("dr", "sr", "lic", "prof", "ing", "enf", "téc", "tec", "obst", "don", "doñ", "doc", "señ", "nombre", ":")
+_ONE_WORD = re.compile(rf"{_WORD}(?!{_NEXT})")
 
 
 def _titled(before: str) -> bool:
@@ -201,7 +207,7 @@ def _name_in(tokens: list[_Token], before: str, after: str) -> tuple[int, int] |
         return tokens[0].a, tokens[m - 1].b
     if m >= 2 and cued:
         return tokens[0].a, tokens[m - 1].b
-    return (tokens[0].a, tokens[0].b) if m == 1 and _titled(before) else None
+    return None
 
 
 #: Sentence openers behind which a name follows at once.
@@ -212,9 +218,6 @@ def _people(text: str) -> Iterator[tuple[int, int]]:
     """Spans of names in a text whose other data are masked by ``#``."""
     for run in _RUN.finditer(text):
         a, b = run.span()
-        whole = run.group()
-        if " " not in whole and "." not in whole and not _titled(text[max(0, a - 14) : a]):
-            continue
         parts, end = [], a
         for m in _PIECE.finditer(text, a, b):
             token = _Token(*m.span(), m.group())
@@ -262,9 +265,19 @@ def _comma_name(left: list[_Token], right: list[_Token], before: str, text: str)
     return own[0].a, right[n - 1].b
 
 
-def _lower_people(text: str) -> Iterator[tuple[int, int]]:
-    """Names typed without capitals: behind a title or label, or with a listed given name."""
-    starts = {m.end() for m in _LOWER_CUE.finditer(text)}
+def _cued_people(text: str) -> Iterator[tuple[int, int]]:
+    """One capital word behind a title, and names typed without capitals: behind a
+    title or label, or with a listed given name."""
+    starts, low = set(), text.lower()
+    if any(part in low for part in _CUE_PARTS):
+        for m in _CUED.finditer(text):
+            at = m.end()
+            if text[at].islower():
+                starts.add(at)
+            elif m.group(1) and (one := _ONE_WORD.match(text, at)):
+                token = _Token(*one.span(), one.group())
+                if not token.given and token.key not in _OPENERS:
+                    yield one.span()
     for word in _LOWER_GIVEN.intersection(_LOWER_WORD.findall(text)):
         at = text.find(word)
         while at >= 0:
@@ -437,7 +450,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         rest = "".join(cut) + text[end:]
     for x, y in _people(rest):
         take(x, y, "PERSON")
-    for x, y in _lower_people(rest):
+    for x, y in _cued_people(rest):
         take(x, y, "PERSON")
     for x, y, kind in list(taken):  # "… en la casa de NAME, STREET 12"
         if kind == "PERSON" and text[y : y + 2] == ", ":
