@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -33,22 +34,40 @@ def local_session(app: str = "cordal", cpus: str | int = "*", partitions: int =
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written stages: the one ``spark.checkpoint.dir`` names.
+
+    Only when neither the session nor the context names one (tests on one machine)
+    is a folder of our own set; a cluster without one is an error.
+    """
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cordal-checkpoint-"))
+        named = sc.getCheckpointDir()
+    return named
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the folder of ``spark.checkpoint.dir``.
+    """Cut the lineage: ``df`` written as a table in the shared folder and read back.
 
-    The folder is read from the session. Only when neither the session nor the
-    context names one (tests on one machine) is a folder of our own set.
+    Unlike an RDD checkpoint this computes the last stage once, and the plans
+    behind it know the size of the table. The application's tables go when it ends.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-            named = tempfile.mkdtemp(prefix="cordal-checkpoint-")
-        sc.setCheckpointDir(named)
-    return df.checkpoint(eager=True)
+    jvm, folder = spark.sparkContext._jvm, f"{shared_folder(spark)}/cordal-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _FOLDERS.add(folder)
+    table = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(table)
+    return spark.read.schema(df.schema).parquet(table)
+
+
+_FOLDERS: set[str] = set()
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
