@@ -150,7 +150,9 @@ def rebuild_signal(strokes: list) -> tuple[np.ndarray, np.ndarray] | None:
     Vertical axis grows downwards. Four rows of the grid (three of leads, one strip)
     each have a calibration pulse of ten millimetres.
     """
-    arrays = [np.array([(p["x"], p["y"]) for p in s], float) for s in strokes or [] if len(s) > 1]
+    arrays = [np.array([(p["x"], p["y"]) for p in s], float) if isinstance(s, list) else s for s in strokes or [] if len(s) > 1]
+    if any(np.isnan(a).any() for a in arrays):
+        return None
     kinds = {"lead": [], "strip": [], "pulse": []}
     for a in arrays:
         n = len(a)
@@ -228,9 +230,13 @@ def with_signal(df: DataFrame, strokes: str) -> DataFrame:
 
     def rebuilt(column: pa.Array) -> pa.Array:
         rows = []
-        for s in column.to_pylist():  # strokes are ragged: no NumPy view of a column exists
-            found = rebuild_signal(s) if s is not None else None
-            rows.append({"muestras": None, "mascara": None} if found is None else {"muestras": found[0].tolist(), "mascara": found[1].tolist()})
+        points = column.values.values  # strokes are ragged: one flat view of all points, cut by the offsets
+        flat = np.column_stack([np.asarray(points.field(c).fill_null(np.nan), float) for c in ("x", "y")])
+        outer, inner = np.asarray(column.offsets), np.asarray(column.values.offsets)
+        for n, known in enumerate(column.is_valid().to_pylist()):
+            own = range(outer[n], outer[n + 1]) if known else ()
+            found = rebuild_signal([flat[inner[i] : inner[i + 1]] for i in own]) if known else None
+            rows.append({"muestras": None, "mascara": None} if found is None else {"muestras": list(found[0]), "mascara": list(found[1])})
         return pa.array(rows, kind)
 
     return df.withColumn("senal", F.arrow_udf(rebuilt, SIGNAL)(strokes))
@@ -263,14 +269,17 @@ def decode_mask(data: bytes, count: int, version: int = FORMAT_VERSION) -> np.nd
     return bits[:count].astype(bool)
 
 
-def through_codec(df: DataFrame, key: str, samples: str) -> DataFrame:
-    """key, bytes and the samples (as smallint) after encoding and decoding."""
+def through_codec(df: DataFrame, key: str, samples: str, mask: str) -> DataFrame:
+    """key, bytes, the samples (as smallint) and the mask after encoding and decoding."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            packed = [encode_samples(x) for x in batch[samples]]
-            back = [decode_samples(p, len(x)).tolist() for p, x in zip(packed, batch[samples])]
-            yield pd.DataFrame({key: batch[key], "bytes": [len(p) for p in packed], "vuelta": back})
+            out = []
+            for k, x, m in zip(batch[key], batch[samples], batch[mask]):
+                data, bits = encode_samples(x), encode_mask(m)
+                out.append((k, len(data) + len(bits), decode_samples(data, len(x)).tolist(), decode_mask(bits, len(m)).tolist()))
+            yield pd.DataFrame(out, columns=[key, "bytes", "vuelta", "mascara"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, F.col(samples).cast("array<smallint>")).mapInPandas(run, f"{key} {kind}, bytes int, vuelta array<smallint>")
+    rows = df.select(key, F.col(samples).cast("array<smallint>"), mask)
+    return rows.mapInPandas(run, f"{key} {kind}, bytes int, vuelta array<smallint>, mascara array<boolean>")

@@ -335,14 +335,15 @@ def adjacent_groups(spark, sf_dir):
     return rows.select("event_id", "user_id", "event_type", F.col("tramo").cast("long").alias("tramo"))
 
 
-@registry("SELECT count(*) AS filas, count(DISTINCT coalesce(grupo, '__raiz__')) AS grupos, 0 AS diferencia FROM documents")
+@registry(
+    """WITH g AS (SELECT coalesce(grupo, '__raiz__') AS grupo, count(*) AS filas, count(DISTINCT doc_id) AS documentos FROM documents GROUP BY 1)
+SELECT *, (SELECT count(*) FROM documents) AS filas_total FROM g"""
+)
 def partition_invariants(spark, sf_dir):
-    """The groups cover the scan without overlap."""
+    """The groups cover the scan without overlap; their own rows add up to all rows."""
     docs = table(spark, sf_dir, "documents").withColumn("g", F.coalesce("grupo", F.lit(dedup.ROOT_GROUP)))
-    groups = docs.groupBy("g").agg(F.count("*").alias("n"))
-    total = docs.agg(F.count("*").alias("filas"))
-    sums = groups.agg(F.sum("n").alias("s"), F.count("*").alias("grupos"))
-    return total.join(sums).select("filas", "grupos", (F.col("filas") - F.col("s")).cast("int").alias("diferencia"))
+    groups = docs.groupBy(F.col("g").alias("grupo")).agg(F.count("*").alias("filas"), F.count_distinct("doc_id").alias("documentos"))
+    return groups.join(groups.agg(F.sum("filas").alias("filas_total"))).select("grupo", "filas", "documentos", "filas_total")
 
 
 @registry(
@@ -359,5 +360,5 @@ def scan_routing(spark, sf_dir):
         F.concat(F.lit("entrada/"), folder, F.col("doc_id").cast("string"), suffix).alias("path"),
         (F.col("n_chars") * 40000).alias("length"),
     )
-    group = dedup.folder_group(F.substring("path", 9, 10_000))
+    group = dedup.folder_group(F.substr("path", F.lit(9)))
     return dedup.route(files, ["pdf"]).withColumn("grupo", group)

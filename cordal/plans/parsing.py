@@ -12,81 +12,59 @@ from cordal.session import table
 
 registry = Registry()
 
-_KNOWN = "('HEMATOLOGIA', 'HEMOSTASIA', 'QUIMICA CLINICA', 'IONOGRAMA')"
-_PLAIN = "NOT contains({c}, '|') AND NOT regexp_matches({c}, '[\\n\\r\\t]') AND trim({c}, ' ') <> ''"
-_LAB = f"""f AS (SELECT DISTINCT id_fila, id_estudio, seccion, prueba, resultado, unidades FROM laboratorio_crudo
-  WHERE seccion IN {_KNOWN} AND {_PLAIN.format(c='prueba')} AND {_PLAIN.format(c='resultado')} AND (unidades IS NULL OR {_PLAIN.format(c='unidades')})),
-r AS (SELECT *, row_number() OVER (PARTITION BY id_estudio ORDER BY id_fila) - 1 AS ordinal FROM f)"""
+_CELL = "trim(regexp_replace(coalesce({c}, ''), '[\\r\\n\\t|]+', ' ', 'g'), ' ')"
+_TITLE = "regexp_replace(upper(trim(trim(trim(translate({c}, 'ÁÉÍÓÚáéíóúÜüÀÈÌÒÙàèìòù', 'AEIOUaeiouUuAEIOUaeiou'), ' '), '-'), ' ')), '\\s+', ' ', 'g')"
+_LAB = f"""f AS (SELECT DISTINCT id_fila, id_estudio, {_CELL.format(c='seccion')} AS t, {_CELL.format(c='prueba')} AS prueba, {_CELL.format(c='resultado')} AS resultado,
+  {_CELL.format(c='unidades')} AS u, seccion, prueba AS p0, resultado AS r0, unidades AS u0 FROM laboratorio_crudo),
+k AS (SELECT *, CASE WHEN {_TITLE.format(c='t')} = 'IONOGRAMA SERICO' THEN 'IONOGRAMA' ELSE {_TITLE.format(c='t')} END AS k FROM f),
+o AS (SELECT *, last_value(CASE WHEN k IN ('HEMATOLOGIA', 'HEMOSTASIA', 'QUIMICA CLINICA', 'IONOGRAMA', 'HEMOSTASIA Y COAGULACION', 'ORINA', 'ORINA COMPLETA') THEN k END IGNORE NULLS)
+  OVER (PARTITION BY id_estudio ORDER BY id_fila, k, p0, r0, u0 ROWS UNBOUNDED PRECEDING) AS s FROM k),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY id_estudio ORDER BY id_fila, k, p0, r0, u0) - 1 AS INTEGER) AS ordinal FROM o WHERE s IS NOT NULL)"""
 
 
-def _plain(name):
-    return ~F.col(name).contains("|") & ~F.col(name).rlike("[\n\r\t]") & (F.trim(name) != "")
+def _cell(name):
+    """A printed cell holds no line break and no bar: they are blanks there."""
+    return F.regexp_replace(F.coalesce(name, F.lit("")), r"[\r\n\t|]+", " ")
 
 
-def _lab_pages(spark, sf_dir, clean=False):
-    """One page per study: a section line and a result line per raw row, or per ``clean`` row that DuckDB can follow.
-
-    A printed cell holds no line break and no bar: they are blanks there.
-    """
+def _lab_pages(spark, sf_dir):
+    """One page per study: a section line and a result line per raw row."""
     rows = table(spark, sf_dir, "laboratorio_crudo").select("id_fila", "id_estudio", "seccion", "prueba", "resultado", "unidades").distinct()
-    if clean:
-        rows = rows.where(F.col("seccion").isin("HEMATOLOGIA", "HEMOSTASIA", "QUIMICA CLINICA", "IONOGRAMA"))
-        rows = rows.where(_plain("prueba") & _plain("resultado") & (F.col("unidades").isNull() | _plain("unidades")))
-    cell = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[\r\n\t|]+", " ")
-    title = F.coalesce(F.concat(cell("seccion"), F.lit("\n")), F.lit(""))
-    line = F.concat(title, F.concat_ws(" | ", cell("prueba"), cell("resultado"), cell("unidades")))
+    title = F.coalesce(F.concat(F.when(F.col("seccion").isNotNull(), _cell("seccion")), F.lit("\n")), F.lit(""))
+    line = F.concat(title, F.concat_ws(" | ", _cell("prueba"), _cell("resultado"), _cell("unidades")))
     body = F.array_sort(F.collect_list(F.struct("id_fila", line.alias("x"))))
     pages = rows.groupBy("id_estudio").agg(body.alias("b"))
     return pages.select("id_estudio", F.array(F.array_join(F.transform("b", lambda x: x["x"]), "\n")).alias("paginas"))
 
 
-def _parsed_laboratory(pages):
-    out = parsers.parse_laboratory(pages, "id_estudio", "paginas")
-    return out.select("id_estudio", "ordinal", "seccion", "prueba", "resultado", "unidades")
-
-
-def _reconciled_laboratory(pages):
-    found = reconcile.laboratory_inventory(pages, "id_estudio", "paginas")
-    cited = parsers.parse_laboratory(pages, "id_estudio", "paginas").select("id_estudio", "pagina", "ordinal")
-    return evidence.coverage(found, cited, ["id_estudio", "ordinal"], "pagina")
-
-
-@registry()
+@registry(f"WITH {_LAB} SELECT id_estudio, ordinal, s AS seccion, prueba, resultado, nullif(u, '') AS unidades FROM r")
 def parse_laboratory_pages(spark, sf_dir):
     """Pages of all raw laboratory rows parsed back into rows."""
-    return _parsed_laboratory(_lab_pages(spark, sf_dir))
-
-
-@registry()
-def reconcile_laboratory_pages(spark, sf_dir):
-    """An independent inventory of the pages covers the parsed rows."""
-    return _reconciled_laboratory(_lab_pages(spark, sf_dir))
+    out = parsers.parse_laboratory(_lab_pages(spark, sf_dir), "id_estudio", "paginas")
+    return out.select("id_estudio", "ordinal", "seccion", "prueba", "resultado", "unidades")
 
 
 @registry(
-    f"""WITH {_LAB} SELECT id_estudio, CAST(ordinal AS INTEGER) AS ordinal, seccion, trim(prueba, ' ') AS prueba, trim(resultado, ' ') AS resultado, nullif(trim(unidades, ' '), '') AS unidades FROM r"""
+    f"""WITH {_LAB}, i AS (SELECT id_estudio, ordinal FROM r), m AS (SELECT id_estudio, ordinal, 1 AS x FROM r WHERE ordinal % 7 <> 3)
+SELECT id_estudio, ordinal, CAST(1 AS BIGINT) AS n_inv, CAST(x IS NOT NULL AS BIGINT) AS n_ref, 0 AS pagina,
+  CASE WHEN x IS NULL THEN 'campo_no_extraido' END AS codigo FROM i LEFT JOIN m USING (id_estudio, ordinal)"""
 )
-def parse_laboratory_clean_pages(spark, sf_dir):
-    """parse_laboratory_pages over the rows whose SQL is known: plain cells, four section spellings."""
-    return _parsed_laboratory(_lab_pages(spark, sf_dir, clean=True))
-
-
-@registry(f"WITH {_LAB} SELECT id_estudio, CAST(ordinal AS INTEGER) AS ordinal, 1 AS n_inv, 1 AS n_ref, 0 AS pagina, CAST(NULL AS VARCHAR) AS codigo FROM r")
-def reconcile_laboratory_clean_pages(spark, sf_dir):
-    """reconcile_laboratory_pages over the same rows."""
-    return _reconciled_laboratory(_lab_pages(spark, sf_dir, clean=True))
+def reconcile_laboratory_pages(spark, sf_dir):
+    """An independent inventory of the pages against the parsed rows; every seventh reference is withheld and has to be missed."""
+    pages = _lab_pages(spark, sf_dir)
+    found = reconcile.laboratory_inventory(pages, "id_estudio", "paginas")
+    cited = parsers.parse_laboratory(pages, "id_estudio", "paginas").select("id_estudio", "pagina", "ordinal")
+    return evidence.coverage(found, cited.where("ordinal % 7 <> 3"), ["id_estudio", "ordinal"], "pagina")
 
 
 @registry(
-    f"""WITH f AS (SELECT DISTINCT id_medida, id_estudio, nombre, valor, unidad FROM medida_eco WHERE {_PLAIN.format(c='nombre')} AND {_PLAIN.format(c='valor')} AND (unidad IS NULL OR {_PLAIN.format(c='unidad')}))
-SELECT id_estudio, CAST(row_number() OVER (PARTITION BY id_estudio ORDER BY id_medida) - 1 AS INTEGER) AS ordinal, trim(nombre, ' ') AS nombre, trim(valor, ' ') AS valor, nullif(trim(unidad, ' '), '') AS unidad FROM f"""
+    f"""WITH f AS (SELECT DISTINCT id_medida, id_estudio, nombre AS n0, valor AS v0, unidad AS u0, {_CELL.format(c='nombre')} AS nombre, {_CELL.format(c='valor')} AS valor, {_CELL.format(c='unidad')} AS u FROM medida_eco)
+SELECT id_estudio, CAST(row_number() OVER (PARTITION BY id_estudio ORDER BY id_medida, nombre, valor, u) - 1 AS INTEGER) AS ordinal, nombre, valor, nullif(u, '') AS unidad FROM f"""
 )
 def parse_echo_pages(spark, sf_dir):
-    """Pages of echo measures parsed back into measures."""
-    plain = lambda c: ~F.col(c).contains("|") & ~F.col(c).rlike("[\n\r\t]") & (F.trim(c) != "")
+    """Pages of all echo measures parsed back into measures."""
     rows = table(spark, sf_dir, "medida_eco").select("id_medida", "id_estudio", "nombre", "valor", "unidad").distinct()
-    rows = rows.where(plain("nombre") & plain("valor") & (F.col("unidad").isNull() | plain("unidad")))
-    line = F.concat_ws(" | ", "nombre", "valor", F.coalesce("unidad", F.lit("")))
+    line = F.concat_ws(" | ", _cell("nombre"), _cell("valor"), _cell("unidad"))
     pages = rows.groupBy("id_estudio").agg(F.array_sort(F.collect_list(F.struct("id_medida", line.alias("x")))).alias("b"))
     text = F.concat(F.lit("MEDIDAS\n"), F.array_join(F.transform("b", lambda x: x["x"]), "\n"), F.lit("\nCONCLUSIONES\nNormal."))
     classed = parsers.echo_lines(pages.select("id_estudio", F.array(text).alias("p")), "id_estudio", "p")
@@ -95,6 +73,7 @@ def parse_echo_pages(spark, sf_dir):
 
 #: Printed labels of the five ECG measures.
 _ECG_LABELS = {"vent_rate": "Vent. rate", "pr_interval": "PR interval", "qrs_duration": "QRS duration", "qt_qtc": "QT/QTc", "ejes": "P-R-T axes"}
+_ECG_CELL = "trim(regexp_replace({c}, '[\\s\\x0b\\x{{85}}\\x{{2028}}\\x{{2029}}]+', ' ', 'g'), ' ')"
 
 
 def _ecg_pages(rows):
@@ -113,36 +92,23 @@ def _ecg_pages(rows):
     return rows.select(F.struct("id_estudio", text).alias("doc"), text)
 
 
-@registry()
+@registry(
+    "WITH e AS (SELECT DISTINCT id_estudio, "
+    + ", ".join(f"{n} AS {n}_0, CASE WHEN regexp_matches({n}, '[0-9]') THEN {_ECG_CELL.format(c=n)} END AS {n}" for n in _ECG_LABELS)
+    + f""" FROM medicion_ecg)
+SELECT id_estudio, {', '.join(_ECG_LABELS)}, '2020-01-02' AS fecha, '03:04:05' AS hora_estudio, CAST(NULL AS VARCHAR) AS codigo,
+  vent_rate IS NOT NULL AS anclado, coalesce(vent_rate = pr_interval, false) AS cruzado FROM e"""
+)
 def parse_ecg_pages(spark, sf_dir):
-    """Pages of all ECGs parsed back, values anchored to their labels."""
+    """Pages of all ECGs parsed back; a value is anchored to its own label, not to another one."""
     rows = table(spark, sf_dir, "medicion_ecg").select("id_estudio", *_ECG_LABELS).distinct()
     out = parsers.parse_ecg(_ecg_pages(rows), "doc", "t")
-    page = F.split("doc.t", "\n")
-    near = F.lit(True)
-    for name, label in _ECG_LABELS.items():
-        near = near & (F.col(name).isNull() | reconcile.beside_label(page, label.replace(".", r"\."), F.col(name)))
+    page, rate = F.split("doc.t", "\n"), F.col("vent_rate")
+    beside = lambda label: F.coalesce(reconcile.beside_label(page, label.replace(".", r"\."), rate), F.lit(False))
     return out.select(
-        "doc.id_estudio", *_ECG_LABELS, F.date_format("fecha_estudio", "yyyy-MM-dd").alias("fecha"), "hora_estudio", "codigo", near.alias("anclado")
-    )
-
-
-@registry(
-    """WITH e AS (SELECT DISTINCT id_estudio, trim(vent_rate, ' ') AS vent_rate, trim(qt_qtc, ' ') AS qt_qtc FROM medicion_ecg WHERE regexp_matches(trim(vent_rate, ' '), '^[0-9]+$') AND regexp_matches(trim(qt_qtc, ' '), '^[0-9]+/[0-9]+$'))
-SELECT id_estudio, vent_rate, qt_qtc, '2020-01-02' AS fecha, '03:04:05' AS hora_estudio, CAST(NULL AS VARCHAR) AS codigo, true AS anclado FROM e"""
-)
-def parse_ecg_clean_pages(spark, sf_dir):
-    """parse_ecg_pages over the rows whose SQL is known: two measures of bare digits, each beside its label."""
-    rows = table(spark, sf_dir, "medicion_ecg").select("id_estudio", F.trim("vent_rate").alias("v"), F.trim("qt_qtc").alias("q")).distinct()
-    rows = rows.where(F.col("v").rlike("^[0-9]+$") & F.col("q").rlike("^[0-9]+/[0-9]+$"))
-    text = F.concat(F.lit("PAZ, ANA~,  ID:1  02-JAN-2020  03:04:05   Hospital\n"), "v", F.lit("\nVent. rate\nbpm\n\nQT/QTc\n"), "q", F.lit("\nms"))
-    docs = rows.select("id_estudio", text.alias("t"))
-    out = parsers.parse_ecg(docs, "id_estudio", "t").join(docs, "id_estudio")
-    page = F.split("t", "\n")
-    near = reconcile.beside_label(page, "Vent\\. rate", F.col("vent_rate")) & reconcile.beside_label(page, "QT/QTc", F.col("qt_qtc"))
-    return out.select(
-        "id_estudio", "vent_rate", "qt_qtc", F.date_format("fecha_estudio", "yyyy-MM-dd").alias("fecha"), "hora_estudio", "codigo", near.alias("anclado")
-    )
+        "doc.id_estudio", *_ECG_LABELS, F.date_format("fecha_estudio", "yyyy-MM-dd").alias("fecha"), "hora_estudio", "codigo",
+        beside(_ECG_LABELS["vent_rate"]).alias("anclado"), beside(_ECG_LABELS["pr_interval"]).alias("cruzado"),
+    )
 
 
 @registry(

@@ -348,13 +348,70 @@ def signal_decimate(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.size(d).cast("long").alias("n"), F.round(total, 5).alias("suma"))
 
 
-@registry("SELECT vec_id, true AS igual FROM embeddings")
+@registry(
+    """WITH m AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round_even(CAST(x AS DOUBLE) * 1000, 0) AS BIGINT)) AS m FROM embeddings)
+SELECT vec_id, CAST(list_sum(m) AS BIGINT) AS suma, m[1] AS primera, m[-1] AS ultima, CAST(len(list_filter(m, lambda x: x > 0)) AS BIGINT) AS positivas FROM m"""
+)
 def signal_codec_roundtrip(spark, sf_dir):
-    """Samples survive encoding and decoding."""
-    scaled = F.transform("embedding", lambda x: F.rint(x * 1000).cast("smallint"))
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", scaled.alias("m"))
-    back = signals.through_codec(rows, "vec_id", "m")
-    return rows.join(back, "vec_id").select("vec_id", (F.col("m") == F.col("vuelta")).alias("igual"))
+    """Samples and mask after encoding and decoding; their sums are those of the source."""
+    scaled = F.transform("embedding", lambda x: F.rint(x.cast("double") * 1000).cast("smallint"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", scaled.alias("m"), F.transform("embedding", lambda x: F.rint(x.cast("double") * 1000) > 0).alias("k"))
+    back = signals.through_codec(rows, "vec_id", "m", "k")
+    whole, count = F.col("vuelta"), F.lit(0).cast("long")
+    return back.select(
+        "vec_id", F.aggregate(whole, count, lambda s, x: s + x).alias("suma"), whole[0].cast("long").alias("primera"),
+        F.element_at(whole, -1).cast("long").alias("ultima"), F.aggregate("mascara", count, lambda s, x: s + x.cast("long")).alias("positivas"),
+    )
+
+
+_WAVE = "(SELECT CAST(sum({w}) AS BIGINT) FROM range({n}) AS r(k))"
+_TRI, _SAW = "abs((k % 100) - 50)", "abs((k % 60) - 30)"
+
+
+@registry(
+    f"""WITH e AS (SELECT DISTINCT id_estudio, 1 + id_estudio % 5 AS a, id_estudio % 7 <> 0 AND id_estudio % 11 <> 0 AND id_estudio % 13 <> 0 AS entera FROM medicion_ecg)
+SELECT id_estudio, entera, CASE WHEN entera THEN a * {_WAVE.format(w=f'2 * {_TRI}', n=1238)} END AS suma_i,
+  CASE WHEN entera THEN a * {_WAVE.format(w=f'2 * {_TRI} + 2 * {_SAW}', n=1238)} END AS suma_ii,
+  CASE WHEN entera THEN -a * {_WAVE.format(w=f'2 * {_TRI} + {_SAW}', n=1238)} END AS suma_avr,
+  CASE WHEN entera THEN a * {_WAVE.format(w='2 * abs((k % 80) - 40)', n=5000)} END AS suma_v1, CASE WHEN entera THEN 11 * 1238 + 5000 END AS medidas FROM e"""
+)
+def ecg_signal(spark, sf_dir):
+    """Drawn traces rebuilt to samples; wrong calibration, wrong physiology and missing strokes give none.
+
+    Every study gets a drawing of its own: triangular leads of a height that
+    depends on the study, a tenth and more of them broken in one of three ways.
+    """
+    a, n = (1 + F.col("id_estudio") % 5).cast("double"), F.col("id_estudio")
+    tri, saw = lambda k: F.abs(k % 100 - 50), lambda k: F.abs(k % 60 - 30)
+    strip_wave = lambda k: 2 * F.abs(k % 80 - 40)
+    limbs = {
+        "I": lambda k: 2 * tri(k), "II": lambda k: 2 * tri(k) + 2 * saw(k), "III": lambda k: 2 * saw(k),
+        "aVR": lambda k: -(2 * tri(k) + saw(k)), "aVL": lambda k: tri(k) - saw(k), "aVF": lambda k: tri(k) + 2 * saw(k),
+    }
+    inverted = F.when(n % 11 == 0, -1.0).otherwise(1.0)
+    points = lambda count, x, y: F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.struct(x(k).alias("x"), y(k).alias("y")))
+    across = lambda start: lambda k: (k + start) / signals.RATE_HZ * signals.MM_PER_S + 20.0
+    drawn = []
+    for i, name in enumerate(signals.LEADS):
+        c, r = divmod(i, 3)
+        start = signals.COLUMN_OFFSETS[c]
+        wave = limbs.get(name) or ((lambda k, s=start: strip_wave(k + s)) if name == "V1" else tri)
+        sign = inverted if name == "II" else F.lit(1.0)
+        drawn.append(points(signals.LEAD_SAMPLES, across(start), lambda k, w=wave, r=r, g=sign: 60.0 * r - g * a * w(k) / 100.0))
+    drawn.append(points(signals.STRIP_SAMPLES, across(0), lambda k: 180.0 - a * strip_wave(k) / 100.0))
+    height = F.when(n % 7 == 0, 9.0).otherwise(10.0)
+    for r in range(4):
+        corner = lambda x, up, r=r: F.struct(F.lit(x).alias("x"), (60.0 * r - height * up).alias("y"))
+        drawn.append(F.array(corner(5.0, 0.0), corner(7.0, 0.0), corner(7.0, 1.0), corner(12.0, 1.0), corner(12.0, 0.0)))
+    items = F.when(n % 13 == 0, F.array(*drawn[:-1])).otherwise(F.array(*drawn))
+    rows = table(spark, sf_dir, "medicion_ecg").select("id_estudio").distinct().select("id_estudio", items.alias("trazos"))
+    out = signals.with_signal(rows, "trazos")
+    total = lambda lead: F.aggregate(out["senal.muestras"][signals.LEADS.index(lead)], F.lit(0).cast("long"), lambda s, x: s + x)
+    kept = F.aggregate(F.flatten("senal.mascara"), F.lit(0), lambda s, x: s + x.cast("int"))
+    return out.select(
+        "id_estudio", F.col("senal.muestras").isNotNull().alias("entera"), total("I").alias("suma_i"), total("II").alias("suma_ii"),
+        total("aVR").alias("suma_avr"), total("V1").alias("suma_v1"), kept.alias("medidas"),
+    )
 
 
 @registry(

@@ -103,26 +103,19 @@ def value_and_unit(spark, sf_dir):
     return parts.select("id_medida", F.col("p.valor").alias("valor_solo"), F.col("p.unidad").alias("unidad_pegada"))
 
 
-def _normal_text(docs):
-    return docs.select(
-        "doc_id", values.normal_text(F.col("text")).alias("normal"), values.first_segment(F.col("text")).alias("primer_segmento")
-    )
-
-
-@registry()
-def normal_text(spark, sf_dir):
-    """normalised text and first segment of all documents (DuckDB folds and counts blanks otherwise)."""
-    return _normal_text(table(spark, sf_dir, "documents").where("text IS NOT NULL"))
+_BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 @registry(
-    """SELECT doc_id, lower(trim(regexp_replace(replace(substr(text, 1, 4000000), '|', ' '), '\\s+', ' ', 'g'))) AS normal,
-  trim(regexp_split_to_array(trim(text), '\\s{2,}')[1]) AS primer_segmento FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\\x00-\\xff]|ß|\\xa0|\\x85')"""
+    f"""SELECT doc_id, trim(regexp_replace(replace(lower(replace(text, '|', ' ')), 'ß', 'ss'), '{_BLANK}+', ' ', 'g'), ' ') AS normal,
+  trim(regexp_split_to_array(trim(text, ' '), '{_BLANK}{{2,}}')[1], ' ') AS primer_segmento FROM documents WHERE text IS NOT NULL"""
 )
-def normal_text_one_byte(spark, sf_dir):
-    """normal_text of the texts in one-byte characters, whose SQL is known."""
+def normal_text(spark, sf_dir):
+    """normalised text and first segment of all documents."""
     docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
-    return _normal_text(docs.where(~F.col("text").rlike("[^\\x00-\\xff]|ß|\\xa0|\\x85")))
+    return docs.select(
+        "doc_id", values.normal_text(F.col("text")).alias("normal"), values.first_segment(F.col("text")).alias("primer_segmento")
+    )
 
 
 @registry(
@@ -308,7 +301,7 @@ def nearest_line_value(spark, sf_dir):
 
 @registry(
     r"""SELECT doc_id, nullif(trim(string_split_regex(trim(regexp_extract(text, 'Petici[oó]n:?\s*N[ºo°]?\s*(.+)', 1)), '\s{2,}')[1]), '') AS peticion,
-  nullif(trim(string_split_regex(trim(regexp_extract(text, 'Edad:\s*(.+)', 1)), '\s{2,}')[1]), '') AS edad FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\x{0085}\x{2028}\x{2029}]')"""
+  nullif(trim(string_split_regex(trim(regexp_extract(text, 'Edad:\s*(.+)', 1)), '\s{2,}')[1]), '') AS edad FROM documents WHERE text IS NOT NULL"""
 )
 def header_fields(spark, sf_dir):
     """First match of header fields."""
@@ -334,18 +327,20 @@ def consistent_header(spark, sf_dir):
 
 
 @registry(
-    """WITH v AS (SELECT DISTINCT m.id_medida, m.valor AS v, t.texto AS p FROM medida_eco m JOIN (SELECT id_estudio, min(texto) AS texto FROM texto_seccion_eco GROUP BY 1) t USING (id_estudio)
-  WHERE m.valor IS NOT NULL AND m.valor <> '' AND t.texto IS NOT NULL),
+    """WITH t AS (SELECT id_estudio, string_agg(texto, chr(10) ORDER BY id_seccion, texto) AS p FROM (SELECT DISTINCT id_estudio, id_seccion, texto FROM texto_seccion_eco WHERE texto IS NOT NULL) GROUP BY 1),
+v AS (SELECT DISTINCT m.id_medida, m.valor AS v, t.p FROM medida_eco m LEFT JOIN t USING (id_estudio) WHERE m.valor IS NOT NULL AND m.valor <> ''),
 n AS (SELECT *, CAST((length(p) - length(replace(p, v, ''))) / length(v) AS INTEGER) AS n FROM v)
-SELECT id_medida, n AS veces, CASE WHEN NOT regexp_matches(p, '[0-9]') THEN 'evidencia_ausente' WHEN n = 0 THEN 'valor_discrepante' WHEN n > 1 THEN 'evidencia_ambigua' END AS codigo FROM n"""
+SELECT id_medida, v AS valor, n AS veces, CASE WHEN p IS NULL OR NOT regexp_matches(p, '[0-9]') THEN 'evidencia_ausente' WHEN n = 0 THEN 'valor_discrepante' WHEN n > 1 THEN 'evidencia_ambigua' END AS codigo FROM n"""
 )
 def evidence_once(spark, sf_dir):
-    """A value must occur exactly once on its page."""
-    pages = table(spark, sf_dir, "texto_seccion_eco").groupBy("id_estudio").agg(F.min("texto").alias("p"))
+    """A value must occur exactly once in the texts of its study, all sections together."""
+    sections = table(spark, sf_dir, "texto_seccion_eco").where("texto IS NOT NULL").select("id_estudio", "id_seccion", "texto").distinct()
+    ordered = F.array_sort(F.collect_list(F.struct("id_seccion", "texto")))
+    pages = sections.groupBy("id_estudio").agg(F.array_join(F.transform(ordered, lambda x: x["texto"]), "\n").alias("p"))
     rows = table(spark, sf_dir, "medida_eco").where("valor IS NOT NULL AND valor <> ''").select("id_estudio", "id_medida", "valor").distinct()
-    both = rows.join(pages, "id_estudio").where("p IS NOT NULL")
-    return both.select(
+    return rows.join(pages, "id_estudio", "left").select(
         "id_medida",
+        "valor",
         evidence.occurrences(F.col("p"), F.col("valor")).alias("veces"),
         evidence.evidence_code(F.col("p"), F.col("valor")).alias("codigo"),
     ).distinct()

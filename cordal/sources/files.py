@@ -13,15 +13,18 @@ _PAGE = r"(?m)^## pagina (\d+) \(orden (de dibujado|geometrico)\)[ \t]*\r?\n"
 def scan(spark: SparkSession, root: str, extensions: list[str], cap: int = dedup.MAX_BYTES) -> DataFrame:
     """path, length, grupo, codigo, huella of the files below ``root``.
 
-    Size and format are decided on the listing; only accepted files are hashed,
-    and their content is dropped before anything is shuffled.
+    Size and format are decided on the listing alone. Only accepted files are
+    opened: a second scan has the size limit and the suffixes as pushed filters.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    read = lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True)
     clean = F.regexp_replace("path", "^file:/+", "/")
     base = root.split("://", 1)[-1].rstrip("/") + "/"
-    relative = F.regexp_replace(clean, "^.*?" + "\\Q" + base + "\\E", "")
-    routed = dedup.route(files, extensions, cap).withColumn("grupo", dedup.folder_group(relative))
-    return routed.withColumn("huella", F.when(F.col("codigo").isNull(), F.sha2("content", 256))).drop("content")
+    group = dedup.folder_group(F.regexp_replace(clean, "^.*?" + "\\Q" + base + "\\E", ""))
+    rejected = dedup.route(read().load(root).select("path", "modificationTime", "length"), extensions, cap).where("codigo IS NOT NULL")
+    any_case = ["*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e.lstrip(".")) for e in extensions]
+    small = read().option("pathGlobFilter", "{" + ",".join(any_case) + "}").load(root).where(F.col("length") <= cap)
+    accepted = dedup.route(small.withColumn("huella", F.sha2("content", 256)).drop("content"), extensions, cap).where("codigo IS NULL")
+    return accepted.unionByName(rejected, allowMissingColumns=True).withColumn("grupo", group)
 
 
 def verified(files: DataFrame, content: str, sha: str) -> DataFrame:
@@ -39,7 +42,8 @@ def text_pages(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True).withColumn("documento", F.col("_metadata.file_name"))
     body = F.regexp_replace("value", r"\r\n?", "\n")
     marks = F.regexp_extract_all(body, F.lit(_PAGE.replace(r"\r?", "")), F.lit(2))
-    blocks = F.slice(F.split(body, _PAGE.replace(r"\r?", "")), 2, 1_000_000)
+    pieces = F.split(body, _PAGE.replace(r"\r?", ""))
+    blocks = F.slice(pieces, F.lit(2), F.size(pieces))
     paired = F.arrays_zip(marks.alias("orden"), blocks.alias("texto"))
     pick = lambda order: F.transform(F.filter(F.col("p"), lambda x: x["orden"] == order), lambda x: F.regexp_replace(x["texto"], r"\s+$", ""))
     return raw.withColumn("p", paired).select(

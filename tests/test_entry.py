@@ -1,4 +1,4 @@
-"""The driver contract, and every core oracle on the smallest tables."""
+"""The driver contract, and every oracle on the smallest tables."""
 
 import math
 from collections import Counter
@@ -30,7 +30,7 @@ def test_entry(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if not n.startswith("p")))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_oracle(spark, name):
     con = duckdb.connect()
     con.sql("SET TimeZone='UTC'")

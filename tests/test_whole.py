@@ -29,7 +29,8 @@ def test_ecg_pages_keep_every_study_and_measure(spark, tmp_path):
     write(spark, tmp_path, "medicion_ecg", rows + rows[:2], "id_estudio int, vent_rate string, pr_interval string, qrs_duration string, qt_qtc string, ejes string")
     out = parsing.parse_ecg_pages(spark, str(tmp_path)).collect()
     got = {r.id_estudio: (r.vent_rate, r.pr_interval, r.qrs_duration, r.qt_qtc, r.ejes) for r in out}
-    assert len(out) == len(ECG) and all(r.anclado and r.codigo is None and r.fecha == "2020-01-02" for r in out)
+    assert len(out) == len(ECG) and all(r.codigo is None and r.fecha == "2020-01-02" for r in out)
+    assert all(r.anclado == (r.vent_rate is not None) and r.cruzado is (r.vent_rate == r.pr_interval is not None) for r in out)
     assert got == {r[0]: tuple(blanks(v) if v and re.search(r"\d", v) else None for v in r[1:]) for r in rows}
 
 
@@ -61,7 +62,7 @@ def test_laboratory_pages_keep_every_row_and_section(spark, laboratory):
 def test_laboratory_inventory_covers_every_row(spark, laboratory):
     folder, rows = laboratory
     out = parsing.reconcile_laboratory_pages(spark, folder).collect()
-    assert len(out) == len(rows) and all((r.n_inv, r.n_ref, r.codigo) == (1, 1, None) for r in out)
+    assert len(out) == len(rows) and all((r.n_inv, r.n_ref, r.codigo) == ((1, 0, "campo_no_extraido") if r.ordinal % 7 == 3 else (1, 1, None)) for r in out)
 
 
 TEXTS = [
