@@ -34,12 +34,17 @@ def scores(text: Column, signatures: dict[str, list[str]] | None = None) -> dict
 
 def with_kind(df: DataFrame, text: str, signatures: dict[str, list[str]] | None = None) -> DataFrame:
     """``df`` with one score column per layout and ``tipo``."""
-    found = scores(F.col(text), signatures)
-    names = {k: f"puntaje_{k}" for k in found}
-    df = df.withColumns({names[k]: c for k, c in found.items()})
-    best = F.greatest(*[F.col(n) for n in names.values()])
-    tied = sum((F.when(F.col(n) == best, 1).otherwise(0) for n in names.values()), F.lit(0))
-    kind = F.lit(UNKNOWN)
-    for k, n in names.items():
-        kind = F.when((best > 0) & (tied == 1) & (F.col(n) == best), F.lit(k)).otherwise(kind)
-    return df.withColumn("tipo", kind)
+    kinds = list(signatures or SIGNATURES)
+    # lambdas hold the text and the scores as values: inlined into every use, and into filters on
+    # ``tipo`` pushed below, they would outgrow a generated method
+    counted = F.transform(F.array(text), lambda t: F.array(*scores(t, signatures).values()))[0]
+
+    def winner(points: Column) -> Column:
+        best = F.array_max(points)
+        tied = F.size(F.filter(points, lambda x: x == best))
+        names = F.array(*[F.lit(k) for k in kinds])
+        return F.when((best > 0) & (tied == 1), names[F.array_position(points, best).cast("int") - 1]).otherwise(F.lit(UNKNOWN))
+
+    df = df.withColumn("_puntajes", counted)
+    df = df.withColumns({f"puntaje_{k}": F.col("_puntajes")[i] for i, k in enumerate(kinds)})
+    return df.withColumn("tipo", F.transform(F.array("_puntajes"), winner)[0]).drop("_puntajes")

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-import os
 import posixpath
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -74,41 +74,85 @@ def page_after(df: DataFrame, key: str, last: object | None, size: int) -> DataF
     return rows.orderBy(key).limit(size)
 
 
-def export(tables: dict[str, DataFrame], whitelist: dict[str, list[str]], folder: str, manifest: dict) -> dict:
-    """Write whitelisted tables as Parquet and, after all of them, the manifest.
+#: Rows of one exported part file at most, so that a part can be hashed whole.
+ROWS_PER_FILE = 2_000_000
 
-    The manifest holds row counts and one SHA-256 per part file, computed on the
-    executors; it is written last, so its presence marks a complete export.
+
+def export(
+    tables: dict[str, DataFrame], whitelist: dict[str, list[str]], folder: str, manifest: dict, rows_per_file: int = ROWS_PER_FILE
+) -> dict:
+    """Write whitelisted tables as Parquet and publish them at once.
+
+    Every run writes into a folder of its own. The manifest names that folder, with
+    row counts and one SHA-256 per part file, computed on the executors; it is
+    written under another name and renamed last. Until then readers see the run
+    before, and a run that fails leaves it untouched. Of earlier runs the last one
+    is kept for readers that have opened it.
     """
     unknown = set(tables) ^ set(whitelist)
     if unknown:
         raise ValueError(f"tables without a whitelist or the reverse: {sorted(unknown)}")
     spark = next(iter(tables.values())).sparkSession
-    manifest = manifest | {"tablas": {}}
+    run = f"run-{uuid.uuid4().hex}"
+    before = (_manifest(spark, folder) or {}).get("carpeta")
+    manifest = manifest | {"carpeta": run, "tablas": {}}
     for name, df in tables.items():
-        path = posixpath.join(folder, name)
-        df.select(*whitelist[name]).write.mode("overwrite").parquet(path)
+        path = posixpath.join(folder, run, name)
+        df.select(*whitelist[name]).write.option("maxRecordsPerFile", rows_per_file).parquet(path)
         parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
         hashes = parts.select(F.substring_index("path", "/", -1).alias("f"), F.sha2("content", 256).alias("h")).orderBy("f")
         manifest["tablas"][name] = {
             "filas": spark.read.parquet(path).count(),
+            "columnas": [[c, t] for c, t in df.select(*whitelist[name]).dtypes],
             "archivos": {r["f"]: r["h"] for r in hashes.toLocalIterator()},
         }
+    files, at = _file_system(spark, folder)
     text = json.dumps(manifest, ensure_ascii=False, indent=1, sort_keys=True)
-    if "://" in folder:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(posixpath.join(folder, "manifest.json"))
-        stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-    else:
-        temporary = os.path.join(folder, ".manifest.json.tmp")
-        with open(temporary, "w", encoding="utf-8") as out:
-            out.write(text)
-        os.replace(temporary, os.path.join(folder, "manifest.json"))
+    stream = files.create(at(".manifest.json.tmp"), True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    _rename(spark, at(".manifest.json.tmp"), at("manifest.json"))
+    for status in files.listStatus(at("")):
+        name = status.getPath().getName()
+        if name.startswith("run-") and name not in (run, before):
+            files.delete(status.getPath(), True)
     return manifest
 
 
+def exported(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the published run; an error where nothing has been published."""
+    manifest = _manifest(spark, folder)
+    if manifest is None:
+        raise FileNotFoundError(f"no manifest in {folder}")
+    return {name: spark.read.parquet(posixpath.join(folder, manifest["carpeta"], name)) for name in manifest["tablas"]}
+
+
+def _file_system(spark: SparkSession, folder: str):
+    """The folder's Hadoop file system, and a function from names to its paths."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(posixpath.join(folder, name) if name else folder)
+    return at("").getFileSystem(conf), at
+
+
+def _rename(spark: SparkSession, source, target) -> None:
+    """Replace ``target`` by ``source`` in one step."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    how = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(files.makeQualified(source), files.makeQualified(target), how)
+
+
+def _manifest(spark: SparkSession, folder: str) -> dict | None:
+    """The manifest of the published run, if there is one."""
+    files, at = _file_system(spark, folder)
+    if not files.exists(at("manifest.json")):
+        return None
+    rows = spark.read.text(posixpath.join(folder, "manifest.json"), wholetext=True).collect()  # one small file
+    return json.loads(rows[0][0])
+
+
 def backfill(target: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
     """``target`` with nulls of ``column`` filled from ``source``."""
     found = source.groupBy(key).agg(F.min(column).alias("_fill"))

@@ -87,3 +87,26 @@ def test_associations(spark):
 def test_relational_options():
     options = output.jdbc_options("jdbc:x", "t", "id", (1, 9, 4))
     assert options["numPartitions"] == "4" and "partitionColumn" not in output.jdbc_options("jdbc:x", "t")
+
+
+def test_command_line_processes_text_pages(spark, tmp_path, monkeypatch):
+    from corpus import echo, ecg, laboratory
+    from cordal.operators.output import exported
+
+    monkeypatch.setenv("CORDAL_SECRET", "k")
+    day = __import__("datetime").date(2024, 5, 6)
+    (tmp_path / "in").mkdir()
+    for make in (laboratory, ecg, echo):
+        page = make(3, day)
+        text = f"# nota\n## pagina 1 (orden de dibujado)\n{page}\n## pagina 1 (orden geometrico)\n{page}\n"
+        (tmp_path / "in" / f"{make.__name__}.txt").write_text(text, encoding="utf-8")
+    folders = ["--entrada", str(tmp_path / "in"), "--salida"]
+    assert main(["process", *folders, str(tmp_path / "out")]) == 0
+    tables = exported(spark, str(tmp_path / "out"))
+    assert {n: t.count() for n, t in tables.items()} == {
+        "publicados": 3, "cuarentena": 0, "mediciones_ecg": 1, "resultados": 2, "medidas_eco": 1, "textos_eco": 1
+    }
+    assert main(["skeleton", *folders, str(tmp_path / "mask")]) == 0
+    masked = "\n".join(r[0] for r in spark.read.text(str(tmp_path / "mask")).collect())
+    assert "X X: 0" in masked and "## pagina 1" in masked and "Tarfolde" not in masked
+    assert main(["run", "nothing", str(tmp_path), "--salida", str(tmp_path / "x")]) == 1

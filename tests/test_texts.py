@@ -1,5 +1,8 @@
 """Parsers, masks, evidence, coverage, funnel, output: literal edges."""
 
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from cordal.functions import masking, values
@@ -92,11 +95,27 @@ def test_append_is_idempotent(spark):
     assert sorted(r.n for r in output.append_new(new, once, "key", ["n"]).collect()) == [3, 4]
 
 
-def test_export_writes_manifest_last(spark, tmp_path):
-    df = spark.createDataFrame([(1, "x", "secreto")], "a int, b string, dni string")
-    manifest = output.export({"t": df}, {"t": ["a", "b"]}, str(tmp_path), {"version": 1})
-    assert spark.read.parquet(str(tmp_path / "t")).columns == ["a", "b"]
-    assert manifest["tablas"]["t"]["filas"] == 1 and (tmp_path / "manifest.json").exists()
+def test_export_publishes_at_once(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x", "secreto"), (2, "y", "secreto")], "a int, b string, dni string")
+    allowed, folder = {"t": ["a", "b"]}, str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        output.exported(spark, folder)
+    first = output.export({"t": df}, allowed, folder, {"version": 1}, rows_per_file=1)
+    assert output.exported(spark, folder)["t"].columns == ["a", "b"] and first["tablas"]["t"]["filas"] == 2
+    part = tmp_path / first["carpeta"] / "t"
+    assert {f: hashlib.sha256((part / f).read_bytes()).hexdigest() for f in first["tablas"]["t"]["archivos"]} == first["tablas"]["t"]["archivos"]
+
+    failing = df.withColumn("b", F.raise_error(F.lit("writer fails")).cast("string"))
+    with pytest.raises(Exception, match="writer fails"):
+        output.export({"u": df, "t": failing}, {"u": ["a"], **allowed}, folder, {"version": 2})
+    assert output.exported(spark, folder)["t"].count() == 2  # the run before is still whole
+
+    for version in (3, 4, 5):
+        last = output.export({"t": df.limit(1)}, allowed, folder, {"version": version})
+    assert output.exported(spark, folder)["t"].count() == 1 and not (tmp_path / first["carpeta"]).exists()
+    assert sum(p.name.startswith("run-") for p in tmp_path.iterdir()) == 2 and last["version"] == 5
+    with pytest.raises(ValueError):
+        output.export({"t": df}, {"x": ["a"]}, folder, {})
 
 
 LAB = [
