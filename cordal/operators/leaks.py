@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cordal.session import ship
+
 BLOCK_LITERALS = 100_000
 
 
@@ -24,6 +26,7 @@ def count_leaks(records: DataFrame, key: str, text: str, literals: DataFrame, li
     without any are left out; null records hold nothing.
     """
     spark = records.sparkSession
+    ship(spark)
     folded = literals.where(F.col(literal).isNotNull()).select(F.col(literal).alias("l"))
     blocks = max(1, -(-folded.count() // block))
     kind = records.schema[key].dataType.simpleString()

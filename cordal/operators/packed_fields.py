@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cordal.session import lookup
+from cordal.session import lookup, ship
 
 #: Words that state a limit and are therefore no label of a band.
 RELATION_WORDS = "hasta|desde|a|de|mayor|menor|entre|y"
@@ -143,6 +143,7 @@ def split_packed(df: DataFrame, id_col: str, text_col: str, campo: str, kind: st
     ``kind`` is ``integers`` (signed integers, any separator) or ``bands``
     (labelled reference bands, possibly quoted).
     """
+    ship(df.sparkSession)
     skeleton = {"integers": integer_skeleton, "bands": band_skeleton}[kind]
     rule = {"integers": integer_rule, "bands": band_rule}[kind]
     rows = df.select(

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cordal.session import ship
+
 #: Fixed values of the recorded layout: rate, samples, column offsets, paper scales, tolerances.
 RATE_HZ = 500
 LEAD_SAMPLES = 1238
@@ -226,6 +228,7 @@ def _plausible(samples: np.ndarray, strip: np.ndarray) -> bool:
 def with_signal(df: DataFrame, strokes: str) -> DataFrame:
     """``df`` with ``senal`` (samples and mask) of its strokes; null parts where they do not fit."""
 
+    ship(df.sparkSession)
     kind = pa.struct([("muestras", pa.list_(pa.list_(pa.int16()))), ("mascara", pa.list_(pa.list_(pa.bool_())))])
 
     def rebuilt(column: pa.Array) -> pa.Array:
@@ -280,6 +283,7 @@ def through_codec(df: DataFrame, key: str, samples: str, mask: str) -> DataFrame
                 out.append((k, len(data) + len(bits), decode_samples(data, len(x)).tolist(), decode_mask(bits, len(m)).tolist()))
             yield pd.DataFrame(out, columns=[key, "bytes", "vuelta", "mascara"])
 
+    ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(key, F.col(samples).cast("array<smallint>"), mask)
     return rows.mapInPandas(run, f"{key} {kind}, bytes int, vuelta array<smallint>, mascara array<boolean>")

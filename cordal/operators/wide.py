@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cordal.operators.analytes import analyte_names, name_base, name_key, section_key
-from cordal.session import bounded, lookup
+from cordal.session import bounded, lookup, ship
 
 #: A wide table has at most this many attributes.
 MAX_COLUMNS = 10_000
@@ -110,6 +110,7 @@ def to_wide(rows: DataFrame, names: list[str], cells: tuple[str, ...] = ("valor"
     there is one column: ``NAME`` (double), ``NAME_unidad`` (string, of the
     number), ``NAME_fila`` (long, row id of the number), ``NAME_texto`` (string).
     """
+    ship(rows.sparkSession)
     kinds = {"valor": "double", "unidad": "string", "fila": "bigint", "texto": "string"}
     schema = ["entidad bigint"] + [
         f"`{n}` double" if c == "valor" else f"`{n}_{c}` {kinds[c]}" for n in names for c in cells
