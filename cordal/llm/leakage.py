@@ -37,6 +37,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cordal.session import ship
+
 RUN_WORDS = 3
 GAP_WORDS = 10
 SHARE = 0.5
@@ -179,6 +181,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, block_bytes: int = BLOC
     ``documents`` has doc_id and text, ``items`` has item_id, texto and perhaps respuesta.
     """
     spark = documents.sparkSession
+    ship(spark)
     answer = F.col("respuesta").cast("string") if "respuesta" in items.columns else F.lit(None).cast("string")
     listed = items.where(F.col("texto").isNotNull()).select(F.col("item_id").cast("long"), "texto", answer.alias("respuesta")).distinct()
     size = listed.agg(F.sum(F.octet_length("texto") + F.coalesce(F.octet_length("respuesta"), F.lit(0)))).first()[0] or 0

@@ -32,6 +32,7 @@ Defined results
 from __future__ import annotations
 
 import importlib
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cordal.session import bounded, checkpoint
+from cordal.session import bounded, checkpoint, ship
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.tiktoken"
 CHUNK_ROWS = 4096
@@ -58,15 +59,19 @@ def source_key(text: Column) -> Column:
 _ENCODERS: dict[str, object] = {}
 
 
-def _encoder(path: str):
-    """The encoding of a rank file, made once per worker."""
+def _encoder(path: str, pattern: str):
+    """The encoding of a rank file, made once per worker.
+
+    Executors that do not have the file under its path take the one that
+    ``token_counts`` has handed out.
+    """
     if path not in _ENCODERS:
         import base64
 
         import tiktoken
+        from pyspark import SparkFiles
 
-        pattern = importlib.import_module("public_tokenizers").PATTERN
-        with open(path, "rb") as lines:
+        with open(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         _ENCODERS[path] = tiktoken.Encoding("cordal", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     return _ENCODERS[path]
@@ -74,9 +79,13 @@ def _encoder(path: str):
 
 def token_counts(documents: DataFrame, path: str) -> DataFrame:
     """doc_id, fuente (source key) and tokens of every document."""
+    spark = documents.sparkSession
+    ship(spark)
+    spark.sparkContext.addFile(path)
+    pattern = importlib.import_module("public_tokenizers").PATTERN
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(path).encode_ordinary
+        encode = _encoder(path, pattern).encode_ordinary
         for batch in batches:
             counts = [len(encode(t)) if isinstance(t, str) else 0 for t in batch["text"]]
             yield batch[["doc_id", "fuente"]].assign(tokens=counts)

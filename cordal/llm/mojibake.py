@@ -38,6 +38,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cordal.session import ship
+
 #: True encoding, encoding it was read with, how often in a row.
 PAIRS = [
     ("utf-8", "cp1252", 1),
@@ -341,5 +343,6 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def garbled(documents: DataFrame) -> DataFrame:
     """The affected rows of ``documents`` (doc_id, text), see ``SCHEMA``."""
+    ship(documents.sparkSession)
     source = documents.where(F.col("text").isNotNull() & F.col("text").rlike(_MAY_BE))
     return source.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_run, SCHEMA).distinct()
