@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cordal.session import lookup, ship
+from cordal.session import checkpoint, lookup, ship
 
 #: Words that state a limit and are therefore no label of a band.
 RELATION_WORDS = "hasta|desde|a|de|mayor|menor|entre|y"
@@ -143,16 +143,24 @@ def split_packed(df: DataFrame, id_col: str, text_col: str, campo: str, kind: st
     ``kind`` is ``integers`` (signed integers, any separator) or ``bands``
     (labelled reference bands, possibly quoted).
     """
+    return split_fields(df, id_col, {campo: text_col}, kind)
+
+
+def split_fields(df: DataFrame, id_col: str, fields: dict[str, str], kind: str) -> DataFrame:
+    """``split_packed`` of several fields (campo: column) of a table in one scan.
+
+    The texts that can hold two values are written once with their skeletons; rules
+    and values are taken from there, so the regular expressions run once per row.
+    """
     ship(df.sparkSession)
     skeleton = {"integers": integer_skeleton, "bands": band_skeleton}[kind]
     rule = {"integers": integer_rule, "bands": band_rule}[kind]
-    rows = df.select(
-        F.col(id_col).cast("long").alias("id_fila"), F.col(text_col).cast("string").alias("texto")
-    ).where(F.col("texto").isNotNull() & (F.trim("texto") != ""))
-    rows = rows.where(F.col("texto").rlike(_MAY_PACK[kind]))
-    rows = rows.withColumn("skeleton", skeleton(F.col("texto")))
+    places = [F.struct(F.lit(campo).alias("campo"), F.col(c).cast("string").alias("texto")) for campo, c in fields.items()]
+    rows = df.select(F.col(id_col).cast("long").alias("id_fila"), F.inline(F.array(*places)))
+    rows = rows.where(F.col("texto").isNotNull() & (F.trim("texto") != "") & F.col("texto").rlike(_MAY_PACK[kind]))
+    rows = checkpoint(rows.withColumn("skeleton", skeleton(F.col("texto"))))
     rules = rows.select("skeleton").distinct().mapInPandas(_resolve(rule), RULE_SCHEMA).where("size(places) > 1")
-    hits = rows.join(lookup(rules), "skeleton").select("id_fila", "texto", "mode", "delim", "places").distinct()
+    hits = rows.join(lookup(rules), "skeleton").select("campo", "id_fila", "texto", "mode", "delim", "places").distinct()
     if kind == "integers":
         found = F.regexp_extract_all("texto", F.lit(_INTEGER), F.lit(0))
     else:
@@ -167,8 +175,8 @@ def split_packed(df: DataFrame, id_col: str, text_col: str, campo: str, kind: st
         )
         plain = F.split(normal, F.concat(F.lit("\\Q"), F.col("delim"), F.lit("\\E")))
         found = F.when(F.col("mode") == "quoted", quoted).otherwise(plain)
-    out = hits.select("id_fila", found.alias("found"), F.explode("places").alias("place")).select(
-        F.lit(campo).alias("campo"),
+    out = hits.select("campo", "id_fila", found.alias("found"), F.explode("places").alias("place")).select(
+        "campo",
         "id_fila",
         F.col("place.posicion").alias("posicion"),
         F.get("found", F.col("place.nth")).alias("valor"),
@@ -180,8 +188,5 @@ def split_packed(df: DataFrame, id_col: str, text_col: str, campo: str, kind: st
 
 def clinical_packed_values(ecg: DataFrame, lab: DataFrame) -> DataFrame:
     """Values of ``qt_qtc``, ``ejes`` (by id_estudio) and ``valores_referencia`` (by id_fila)."""
-    return (
-        split_packed(ecg, "id_estudio", "qt_qtc", "qt_qtc", "integers")
-        .unionByName(split_packed(ecg, "id_estudio", "ejes", "ejes", "integers"))
-        .unionByName(split_packed(lab, "id_fila", "valores_referencia", "valores_referencia", "bands"))
-    )
+    integers = split_fields(ecg, "id_estudio", {"qt_qtc": "qt_qtc", "ejes": "ejes"}, "integers")
+    return integers.unionByName(split_packed(lab, "id_fila", "valores_referencia", "valores_referencia", "bands"))
