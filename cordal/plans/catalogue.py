@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from cordal.plans import linking, parsing, processing, runs, staged, texts
+from cordal.plans import layouts, linking, parsing, processing, runs, staged, texts
 from cordal.plans.linking import episodes_per_patient  # noqa: F401  (flagship of the entry point)
 from cordal.plans.registry import Query
 
-_PARTS = [linking.registry, texts.registry, parsing.registry, runs.registry, staged.registry, processing.registry]
+_PARTS = [linking.registry, texts.registry, parsing.registry, runs.registry, staged.registry, processing.registry, layouts.registry]
 
 
 def queries() -> dict[str, Query]:

@@ -34,6 +34,8 @@ ep AS (
   FROM linked GROUP BY ALL)"""
 _FALTAN = "concat_ws(',', CASE WHEN NOT e THEN 'ecg' END, CASE WHEN NOT c THEN 'ecocardiograma' END, CASE WHEN NOT l THEN 'laboratorio' END)"
 _DATE = "yyyy-MM-dd"
+#: A national id made of a key, the same in both engines.
+_N = "CAST((('0x' || substr(md5({c}), 1, 7))::BIGINT % 90000000) + 10000000 AS VARCHAR)"
 
 
 def studies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cordal.functions import keys, masking, values
 from cordal.operators import classify, identity, parsers
-from cordal.plans.linking import _EPISODES, SECRET, studies, with_date, with_gate
+from cordal.plans.linking import _EPISODES, _N, SECRET, studies, with_date, with_gate
 from cordal.plans.pipeline import EntityDetector, Pipeline
 from cordal.plans.registry import Registry
 from cordal.session import bounded, checkpoint
@@ -133,9 +133,6 @@ def _with_keys(df: DataFrame, published: DataFrame, secret: bytes) -> DataFrame:
     return df.join(published.select("documento", "id_episodio"), "documento").select(key, "id_episodio", *df.columns[1:])
 
 
-_N = "CAST((('0x' || substr(md5({c}), 1, 7))::BIGINT % 90000000) + 10000000 AS VARCHAR)"
-
-
 def study_pages(spark, sf_dir) -> DataFrame:
     """Text pages of every distinct study of ``estudio``, as its layout prints them."""
     rows = studies(spark, sf_dir)
