@@ -175,15 +175,36 @@ def redact_ids(spark, sf_dir):
     return rows.select("id_seccion", masking.redact_ids(F.col("texto")).alias("texto_redactado")).distinct()
 
 
-def _known_names():
-    return F.array(F.lit("Guadalupe"), F.lit("Silvia Federte"), F.element_at(F.split("texto", r"\s+"), 1))
-
-
-@registry()
+_CHAR = "CASE " + " ".join(
+    f"WHEN c IN ('{plain}', '{marked}') THEN '{group}'"
+    for plain, marked, group in [("a", "á", "[aáàäâ]"), ("e", "é", "[eéèëê]"), ("i", "í", "[iíìïî]"), ("o", "ó", "[oóòöô]"), ("u", "ú", "[uúùüû]"), ("ü", "ü", "[uúùüû]"), ("n", "ñ", "[nñ]")]
+) + " WHEN c = ' ' THEN '\\s+' WHEN regexp_matches(c, '[\\pL\\pN]') THEN c ELSE '\\' || c END"
+_NAMED = f"""m AS (SELECT (ascii(id_medico) * 7 + length(nombre)) % 64 AS k, min(nombre) AS nombre FROM firma_medico WHERE nombre IS NOT NULL GROUP BY 1),
+a AS (SELECT DISTINCT id_seccion, texto || coalesce(' Informado por ' || nombre || '.', '') AS texto, trim(regexp_replace(nombre, '[\\s,]+', ' ', 'g'), ' ') AS n
+  FROM texto_seccion_eco LEFT JOIN m ON id_seccion % 64 = k WHERE texto IS NOT NULL),
+q AS (SELECT *, list_reverse_sort(list_transform(list_distinct(list_filter(list_prepend(n, string_split(n, ' ')), lambda x: length(x) >= 3)), lambda x: {{'l': length(x), 'p': lower(x)}})) AS ps FROM a),
+e AS (SELECT *, '(?i)(^|[^\\pL\\pN])(?:' || array_to_string(list_transform(ps, lambda s: array_to_string(list_transform(string_split(s.p, ''), lambda c: {_CHAR}), '')), '|') || ')($|[^\\pL\\pN])' AS pat FROM q),
+b AS (SELECT *, {_RED.format(t='texto')} AS x FROM e),
+c AS (SELECT *, {_RED.format(t='substr(x, 2, length(x) - 2)')} AS y FROM b),
+d AS (SELECT *, substr(y, 2, length(y) - 2) AS ids FROM c),
+z AS (SELECT id_seccion, CASE WHEN len(ps) > 0 THEN regexp_replace(regexp_replace(ids, pat, '\\1[REDACTADO]\\2', 'g'), pat, '\\1[REDACTADO]\\2', 'g') ELSE ids END AS t FROM d)"""
+
+
+def _signed_sections(spark, sf_dir):
+    """Sections with the physician they are signed by: ``texto`` names them, ``nombres`` holds the known names."""
+    sections = table(spark, sf_dir, "texto_seccion_eco").where("texto IS NOT NULL").select("id_seccion", "texto").distinct()
+    slot = ((F.ascii("id_medico") * 7 + F.length("nombre")) % 64).alias("k")
+    physicians = table(spark, sf_dir, "firma_medico").where("nombre IS NOT NULL").groupBy(slot).agg(F.min("nombre").alias("nombre"))
+    both = sections.join(F.broadcast(physicians), F.col("id_seccion") % 64 == F.col("k"), "left")  # 64 rows at most
+    text = F.concat("texto", F.coalesce(F.concat(F.lit(" Informado por "), "nombre", F.lit(".")), F.lit("")))
+    return both.select("id_seccion", text.alias("texto"), F.array("nombre").alias("nombres"))
+
+
+@registry(f"WITH {_NAMED} SELECT DISTINCT id_seccion, t AS texto_redactado FROM z")
 def redact_known_names(spark, sf_dir):
-    """The first two layers with known names of each row (per-row pattern: no RE2 form)."""
-    rows = table(spark, sf_dir, "texto_seccion_eco").where("texto IS NOT NULL")
-    return rows.select("id_seccion", masking.redact(F.col("texto"), _known_names()).alias("texto_redactado")).distinct()
+    """The first two layers with the known names of each row."""
+    rows = _signed_sections(spark, sf_dir)
+    return rows.select("id_seccion", masking.redact(F.col("texto"), F.col("nombres")).alias("texto_redactado")).distinct()
 
 
 #: Fixed value: an e-mail address, parts of which the layers before may have redacted.
@@ -201,13 +222,12 @@ def email_spans(text):
     return F.aggregate(F.regexp_extract_all(text, F.lit(_EMAIL), F.lit(0)), empty, step)
 
 
-@registry()
+@registry(f"WITH {_NAMED} SELECT DISTINCT id_seccion, regexp_replace(t, '{_EMAIL}', '[REDACTADO]', 'g') AS texto_redactado FROM z")
 def redact_layers(spark, sf_dir):
-    """Ids, known names, then spans of a regex detector on what they leave (span folds: no SQL form)."""
-    rows = table(spark, sf_dir, "texto_seccion_eco").where("texto IS NOT NULL")
-    names = _known_names()
-    spans = email_spans(masking.redact(F.col("texto"), names))
-    return rows.select("id_seccion", masking.redact(F.col("texto"), names, spans).alias("texto_redactado")).distinct()
+    """Ids, known names, then spans of a regex detector on what they leave."""
+    rows = _signed_sections(spark, sf_dir)
+    spans = email_spans(masking.redact(F.col("texto"), F.col("nombres")))
+    return rows.select("id_seccion", masking.redact(F.col("texto"), F.col("nombres"), spans).alias("texto_redactado")).distinct()
 
 
 @registry(

@@ -125,16 +125,26 @@ SECTIONS_ECO = [
 
 def test_all_redaction_layers_run(spark, tmp_path):
     write(spark, tmp_path, "texto_seccion_eco", list(enumerate(SECTIONS_ECO)) + [(9, None)], "id_seccion long, texto string")
+    names = {0: "Páz, Guadalupe", 1: "Silvia Federte", 2: None}
+    ids = {k: next(c for c in "abcdefghijklmnopqrstuvwxyz0123456789" if (ord(c) * 7 + len(n)) % 64 == k) if n and any((ord(c) * 7 + len(n)) % 64 == k for c in "abcdefghijklmnopqrstuvwxyz0123456789") else None for k, n in names.items()}
+    rows = [(i, names[k]) for k, i in ids.items() if i] + [("x", None)]
+    write(spark, tmp_path, "firma_medico", rows, "id_medico string, nombre string")
+    slots = {(ord(i) * 7 + len(n)) % 64: n for i, n in rows if n}
     got = {r.id_seccion: r.texto_redactado for r in texts.redact_layers(spark, str(tmp_path)).collect()}
-    mark = "[REDACTADO]"
-    want = {}
+    mark, want = "[REDACTADO]", {}
+    folds = {"á": "a", "í": "i"}
     for i, t in enumerate(SECTIONS_ECO):
-        first = t.split()[0]
+        name = slots.get(i)
+        t += f" Informado por {name}." if name else ""
         t = re.sub(r"(?<![\d.])\d{1,2}\.\d{3}\.\d{3}(?!\d)|(?<!\d)\d{6,8}(?!\d)", mark, t)
-        t = re.sub(rf"(?i)(?<!\w)(?:Silvia\s+Federte|Guadalupe|Federte|Silvia|{first})(?!\w)", mark, t)
+        if name:
+            clean = re.sub(r"[\s,]+", " ", name)
+            parts = sorted({clean, *clean.split()}, key=len, reverse=True)
+            body = "|".join("".join("[aá]" if folds.get(c, c) == "a" else r"\s+" if c == " " else re.escape(c) for c in p.lower()) for p in parts)
+            t = re.sub(rf"(?i)(?<!\w)(?:{body})(?!\w)", mark, t)
         want[i] = re.sub(r"(?:[\w.+-]|\[REDACTADO\])+@(?:[\w.-]|\[REDACTADO\])+", mark, t)
-    assert got == want
-    assert not any("@" in t or "1234567" in t or "uadalupe" in t for t in got.values())
+    assert got == want and len(slots) > 0
+    assert not any("@" in t or "1234567" in t for t in got.values())
 
 
 def test_pipeline_over_all_studies(spark, all_studies, tmp_path):
