@@ -139,10 +139,33 @@ lx AS (SELECT id_fila, unnest(k) AS v, generate_subscripts(k, 1) AS posicion, le
 SELECT * FROM i UNION ALL SELECT 'valores_referencia', id_fila, CAST(posicion AS INTEGER), trim(v) FROM lx WHERE c > 1 AND regexp_matches(v, '[0-9]')"""
 
 
+#: The laboratory codes of the attribute table, which are the columns of the wide one.
+_CODES = (
+    "ALB B12 BIT CAL CLO COL CRE DDI ERI ESR FAL FER FIB FOS GLU GOT GPT HBA HDL HEM HGB HIE KPT LDL LEU LIP MAG "
+    "NEA NEP PCR PLA POT PRT RET SOD T4L TP TRI TRO TSH UCR UGL UPR URE URI VCM VID "
+).split()
+
+
+def _cells(code: str) -> str:
+    """The four columns of a code: number, its unit and row, text."""
+    number, words = f"c = '{code}' AND valor_num IS NOT NULL", f"c = '{code}' AND valor_texto IS NOT NULL"
+    return (
+        f"""max_by(valor_num, (id_resultado, valor_num)) FILTER ({number}) AS "{code}", (max_by({{'u': unidad}}, (id_resultado, valor_num)) FILTER ({number})).u AS "{code}_unidad","""
+        f""" max(id_resultado) FILTER ({number}) AS "{code}_fila", max_by(valor_texto, (id_resultado, valor_texto)) FILTER ({words}) AS "{code}_texto\""""
+    )
+
+
+_WIDE = f"""WITH {_NAMES}, v AS (SELECT *, {_section('seccion')} AS sec, {_name('analito')} AS k1, {_name(f"regexp_extract(analito, {_TAIL}, 1)")} AS k2
+  FROM resultado_laboratorio WHERE id_estudio IS NOT NULL AND (valor_num IS NOT NULL OR valor_texto IS NOT NULL)),
+w AS (SELECT v.*, coalesce(n1.codigo, n2.codigo) AS c FROM v LEFT JOIN nombres n1 ON n1.ambito = 'laboratorio' AND n1.sec = v.sec AND n1.k = k1 LEFT JOIN nombres n2 ON n2.ambito = 'laboratorio' AND n2.sec = v.sec AND n2.k = k2)
+SELECT id_estudio, {', '.join(map(_cells, _CODES))} FROM w WHERE c IS NOT NULL GROUP BY 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": _P2,
         "p4_found": f"WITH {_NAMES}, {_ROWS} SELECT DISTINCT tabla, id_fila, {_MIL} AS valor_mil FROM w JOIN f ON f.codigo = w.codigo AND f.unidad = w.unidad_hallada WHERE valor IS NOT NULL AND abs(factor - 1) > 1e-9",
         "p4_all": f"WITH {_NAMES}, {_ROWS} SELECT tabla, id_fila, w.codigo, unidad_hallada, {_MIL} AS valor_mil FROM w LEFT JOIN f ON f.codigo = w.codigo AND f.unidad = w.unidad_hallada",
         "p5_found": _P5,
+        "p5_wide": _WIDE,
     }

@@ -176,7 +176,7 @@ def gate_totality(spark, sf_dir):
     return lost.agg(F.count("*").cast("int").alias("sin_destino"))
 
 
-@registry(
+_DESTINATIONS = (
     _BRIDGE.replace("WITH", "WITH RECURSIVE", 1)
     + f""", {_STUDIES},
 r AS (SELECT s.id_estudio, s.tipo_documento, s.fecha_estudio AS fecha, coalesce(s.id_paciente, p.id_paciente) AS paciente, coalesce(p.ambiguo, false) AS ambiguo
@@ -188,10 +188,13 @@ walk AS (
   SELECT n.paciente, n.fecha, n.k, CASE WHEN n.fecha - w.ancla <= 7 THEN w.ancla ELSE n.fecha END FROM walk w JOIN n ON n.paciente = w.paciente AND n.k = w.k + 1),
 a AS (SELECT r.*, w.ancla FROM r LEFT JOIN walk w ON r.paciente = w.paciente AND r.fecha = w.fecha),
 c AS (SELECT *, count(*) OVER e - count(DISTINCT tipo_documento) OVER e AS de_mas,
-  count(DISTINCT CASE WHEN tipo_documento IN ('ecg', 'laboratorio', 'ecocardiograma') THEN tipo_documento END) OVER e AS hay FROM a WINDOW e AS (PARTITION BY paciente, ancla))
-SELECT CASE WHEN paciente IS NULL THEN CASE WHEN ambiguo THEN 'clave_pii_ambigua' ELSE 'clave_pii_no_resuelta' END WHEN fecha IS NULL THEN 'parseo_incompleto'
-  WHEN de_mas > 0 THEN 'episodio_ambiguo' WHEN hay < 3 THEN 'episodio_incompleto' ELSE 'aprobado' END AS destino, count(*) AS documentos FROM c GROUP BY 1"""
+  count(DISTINCT CASE WHEN tipo_documento IN ('ecg', 'laboratorio', 'ecocardiograma') THEN tipo_documento END) OVER e AS hay FROM a WINDOW e AS (PARTITION BY paciente, ancla)),
+d AS (SELECT *, CASE WHEN paciente IS NULL THEN CASE WHEN ambiguo THEN 'clave_pii_ambigua' ELSE 'clave_pii_no_resuelta' END WHEN fecha IS NULL THEN 'parseo_incompleto'
+  WHEN de_mas > 0 THEN 'episodio_ambiguo' WHEN hay < 3 THEN 'episodio_incompleto' ELSE 'aprobado' END AS destino FROM c)"""
 )
+
+
+@registry(_DESTINATIONS + " SELECT destino, count(*) AS documentos FROM d GROUP BY 1")
 def gate_destinations(spark, sf_dir):
     """How many studies are approved or in quarantine under each code."""
     approved, quarantined = gated(spark, sf_dir).run(studies(spark, sf_dir))

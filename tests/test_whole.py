@@ -154,6 +154,6 @@ def test_pipeline_over_all_studies(spark, all_studies, tmp_path):
     assert totals == {"entrada": 11, "publicados": 3, "en_cuarentena": 8, "diferencia": 0, "secciones": 2, "redacciones": 2}
     out = {r.id_estudio: r for r in staged.pipeline_published(spark, all_studies).collect()}
     assert set(out) == {1, 2, 3} and len({r.clave_paciente for r in out.values()}) == len({r.clave_episodio for r in out.values()}) == 1
-    assert [tuple(s) for s in out[3].textos] == [(5, "Normal"), (7, "DNI [REDACTADO], [REDACTADO]")] and "resuelto" not in out[1]
+    assert out[3].textos == "5:Normal\n7:DNI [REDACTADO], [REDACTADO]" and "resuelto" not in out[1]
     bad = staged.staged(spark, all_studies).run(linking.studies(spark, all_studies))[1].groupBy("etapa").count()
     assert {r.etapa: r["count"] for r in bad.collect()} == {"identidad": 3, "fecha": 1, "episodio": 4}
