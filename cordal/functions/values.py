@@ -207,3 +207,25 @@ def literal_prefix(pattern: str) -> str:
         out.append(c)
         i += 1
     return "".join(out)
+
+
+def html_escaped(text: Column) -> Column:
+    """Text for HTML content and attributes."""
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        text = F.replace(text, F.lit(mark), F.lit(name))
+    return text
+
+
+def script_json(text: Column) -> Column:
+    """JSON text that may stand inside a script element: nothing in it can end or open markup."""
+    for mark, escape in (("<", r"\u003c"), (">", r"\u003e")):
+        text = F.replace(text, F.lit(mark), F.lit(escape))
+    return text
+
+
+def duration_text(seconds: Column) -> Column:
+    """``2 h 5 min``, or minutes alone under an hour; null counts as none."""
+    total = F.coalesce(seconds.cast("long"), F.lit(0).cast("long"))
+    hours, minutes = F.floor(total / 3600), F.floor(total % 3600 / 60)
+    short = F.concat(minutes.cast("string"), F.lit(" min"))
+    return F.when(hours > 0, F.concat(hours.cast("string"), F.lit(" h "), short)).otherwise(short)

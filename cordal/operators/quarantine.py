@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cordal.functions.masking import redact_ids
+
 #: Codes that a retry without changes may cure.
 RETRYABLE = ["clave_pii_no_resuelta", "error_transitorio_agotado", "episodio_incompleto", "proceso_interrumpido"]
 #: Code to the action somebody has to take.
@@ -80,3 +82,8 @@ def retry_plan(quarantined: DataFrame, inventory: DataFrame, key: str, code: str
 def log_event(event: Column, keys: list[str] | None = None) -> Column:
     """The whitelisted entries of an event map."""
     return F.map_filter(event, lambda k, v: k.isin(keys or LOG_KEYS))
+
+
+def safe_event(event: Column, keys: list[str] | None = None) -> Column:
+    """The whitelisted entries with ids inside their values redacted."""
+    return F.transform_values(log_event(event, keys), lambda _, v: redact_ids(v))

@@ -73,6 +73,45 @@ def laboratory_inventory(docs: DataFrame, key: str, pages: str) -> DataFrame:
     return found.select(key, "pagina", (F.row_number().over(by) - 1).alias("ordinal"))
 
 
+#: Inventory of the ECG layout: field, class, what announces it. Written apart from the parser's labels.
+ECG_MARKS = [
+    ("nombre", "header", "~,"), ("id_estudio", "header", r"\bID:"), ("fecha_nac", "header", r"yr\)"),
+    ("vent_rate", "medida", r"(?i)\bvent\.? *rate\b"), ("pr_interval", "medida", r"\bPR\b"), ("qrs_duration", "medida", r"\bQRS\b"),
+    ("qt_qtc", "medida", "QT/QTc"), ("ejes", "medida", r"\bP-R-T\b"),
+]
+
+
+def ecg_inventory(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, campo, clase, pagina of every announced field, once per announcement."""
+    found = F.array(
+        *[F.struct(F.lit(n).alias("campo"), F.lit(c).alias("clase"), F.size(F.regexp_extract_all(text, F.lit(p), F.lit(0))).alias("veces")) for n, c, p in ECG_MARKS]
+    )
+    rows = docs.select(key, F.inline(found)).where("veces > 0")
+    return rows.select(key, "campo", "clase", F.lit(0).alias("pagina"), F.explode(F.sequence(F.lit(1), "veces")).alias("vez"))
+
+
+def echo_inventory(docs: DataFrame, key: str, pages: str) -> DataFrame:
+    """key, pagina, ordinal of every line between MEDIDAS and the next title that has a bar."""
+    paged = docs.select(key, F.posexplode(pages).alias("pagina", "t"))
+    blocks = F.split(F.col("t"), r"(?m)^\s*MEDIDAS\s*$")
+    after = F.flatten(F.transform(F.slice(blocks, F.lit(2), F.size(blocks)), lambda b: F.split(F.split(b, r"(?m)^\s*[A-ZÁÉÍÓÚ ]{6,}:?\s*$")[0], r"\r?\n")))
+    lines = paged.select(key, "pagina", F.posexplode(F.filter(after, lambda x: x.contains("|"))).alias("linea", "x"))
+    by = W.partitionBy(key).orderBy("pagina", "linea")
+    return lines.select(key, "pagina", (F.row_number().over(by) - 1).alias("ordinal"))
+
+
+#: Printed lines that need no reference, in lower case.
+PERMITTED = {"ecg": ["pid / name mismatch"], "ecocardiograma": ["diagnostico por imagenes"]}
+
+
+def permitted_text(line: Column, kind: str) -> Column:
+    """Whether a printed line is furniture of its layout and needs no reference."""
+    key = F.lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
+    if kind == "laboratorio":
+        return key.contains("resultado") & (key.contains("unidades") | key.contains("referencia"))
+    return key.isin(PERMITTED.get(kind, []))
+
+
 def first_per_field(rows: DataFrame, doc: str, field: str, order: list[str]) -> DataFrame:
     """The first row of every field of a document (W13), with map-side combine."""
     rest = [c for c in rows.columns if c not in (doc, field)]

@@ -37,6 +37,15 @@ def _lab_pages(spark, sf_dir):
     return pages.select("id_estudio", F.array(F.array_join(F.transform("b", lambda x: x["x"]), "\n")).alias("paginas"))
 
 
+def _echo_pages(spark, sf_dir):
+    """One page per study: its measures between two titles."""
+    rows = table(spark, sf_dir, "medida_eco").select("id_medida", "id_estudio", "nombre", "valor", "unidad").distinct()
+    line = F.concat_ws(" | ", _cell("nombre"), _cell("valor"), _cell("unidad"))
+    pages = rows.groupBy("id_estudio").agg(F.array_sort(F.collect_list(F.struct("id_medida", line.alias("x")))).alias("b"))
+    text = F.concat(F.lit("MEDIDAS\n"), F.array_join(F.transform("b", lambda x: x["x"]), "\n"), F.lit("\nCONCLUSIONES\nNormal."))
+    return pages.select("id_estudio", F.array(text).alias("p"))
+
+
 @registry(f"WITH {_LAB} SELECT id_estudio, ordinal, s AS seccion, prueba, resultado, nullif(u, '') AS unidades FROM r")
 def parse_laboratory_pages(spark, sf_dir):
     """Pages of all raw laboratory rows parsed back into rows."""
@@ -63,14 +72,23 @@ SELECT id_estudio, CAST(row_number() OVER (PARTITION BY id_estudio ORDER BY id_m
 )
 def parse_echo_pages(spark, sf_dir):
     """Pages of all echo measures parsed back into measures."""
-    rows = table(spark, sf_dir, "medida_eco").select("id_medida", "id_estudio", "nombre", "valor", "unidad").distinct()
-    line = F.concat_ws(" | ", _cell("nombre"), _cell("valor"), _cell("unidad"))
-    pages = rows.groupBy("id_estudio").agg(F.array_sort(F.collect_list(F.struct("id_medida", line.alias("x")))).alias("b"))
-    text = F.concat(F.lit("MEDIDAS\n"), F.array_join(F.transform("b", lambda x: x["x"]), "\n"), F.lit("\nCONCLUSIONES\nNormal."))
-    classed = parsers.echo_lines(pages.select("id_estudio", F.array(text).alias("p")), "id_estudio", "p")
+    classed = parsers.echo_lines(_echo_pages(spark, sf_dir), "id_estudio", "p")
     return parsers.parse_echo_measures(classed, "id_estudio").select("id_estudio", "ordinal", "nombre", "valor", "unidad")
 
 
+@registry(
+    f"""WITH f AS (SELECT DISTINCT id_medida, id_estudio, nombre AS n0, valor AS v0, unidad AS u0, {_CELL.format(c='nombre')} AS nombre, {_CELL.format(c='valor')} AS valor, {_CELL.format(c='unidad')} AS u FROM medida_eco),
+i AS (SELECT id_estudio, CAST(row_number() OVER (PARTITION BY id_estudio ORDER BY id_medida, nombre, valor, u) - 1 AS INTEGER) AS ordinal FROM f)
+SELECT id_estudio, ordinal, CAST(1 AS BIGINT) AS n_inv, CAST(ordinal % 5 <> 2 AS BIGINT) AS n_ref, 0 AS pagina, CASE WHEN ordinal % 5 = 2 THEN 'campo_no_extraido' END AS codigo FROM i"""
+)
+def reconcile_echo_pages(spark, sf_dir):
+    """The inventory of echo pages against the parsed measures; every fifth reference is withheld and has to be missed."""
+    pages = _echo_pages(spark, sf_dir)
+    found = reconcile.echo_inventory(pages, "id_estudio", "p")
+    cited = parsers.parse_echo_measures(parsers.echo_lines(pages, "id_estudio", "p"), "id_estudio").select("id_estudio", "pagina", "ordinal")
+    return evidence.coverage(found, cited.where("ordinal % 5 <> 2"), ["id_estudio", "ordinal"], "pagina")
+
+
 #: Printed labels of the five ECG measures.
 _ECG_LABELS = {"vent_rate": "Vent. rate", "pr_interval": "PR interval", "qrs_duration": "QRS duration", "qt_qtc": "QT/QTc", "ejes": "P-R-T axes"}
 _ECG_CELL = "trim(regexp_replace({c}, '[\\s\\x0b\\x{{85}}\\x{{2028}}\\x{{2029}}]+', ' ', 'g'), ' ')"
@@ -111,6 +129,32 @@ def parse_ecg_pages(spark, sf_dir):
     )
 
 
+_AGAIN = "1 + len(regexp_extract_all(coalesce(ejes, ''), '\\bQRS\\b'))"  # some axes are written with their wave's name
+_MEASURED = " UNION ALL ".join(
+    f"SELECT id_estudio, '{n}' AS campo, coalesce(regexp_matches({n}, '[0-9]'), false) AS leido, {_AGAIN if n == 'qrs_duration' else 1} AS n_inv FROM e"
+    for n in _ECG_LABELS
+)
+
+
+@registry(
+    f"""WITH e AS (SELECT id_estudio, {', '.join(f'max({n}) AS {n}' for n in _ECG_LABELS)} FROM medicion_ecg GROUP BY 1), m AS ({_MEASURED})
+SELECT id_estudio, campo, CAST(n_inv AS BIGINT) AS n_inv, CAST(leido AS BIGINT) AS n_ref, 0 AS pagina,
+  CASE WHEN n_inv > 1 THEN 'cobertura_ambigua' WHEN NOT leido THEN 'campo_no_extraido' END AS codigo FROM m
+UNION ALL SELECT id_estudio, c, 1, 1, 0, NULL FROM e, (VALUES ('nombre'), ('id_estudio')) AS h(c)"""
+)
+def reconcile_ecg_pages(spark, sf_dir):
+    """Labels announced on ECG pages against the fields parsed from them; what was not read is missing."""
+    rows = table(spark, sf_dir, "medicion_ecg").groupBy("id_estudio").agg(*[F.max(n).alias(n) for n in _ECG_LABELS])
+    docs = _ecg_pages(rows)
+    found = reconcile.ecg_inventory(docs, "doc", "t")
+    parsed = parsers.parse_ecg(docs, "doc", "t")
+    fields = {n: F.col(n) for n in _ECG_LABELS} | {n: F.col("cabecera")[n] for n in ("nombre", "id_estudio")}
+    cited = F.filter(F.array(*[F.when(c.isNotNull(), F.lit(n)) for n, c in fields.items()]), lambda x: x.isNotNull())
+    read = parsed.select("doc", F.explode(cited).alias("campo"), F.lit(0).alias("pagina"))
+    narrow = lambda df: df.select("doc.id_estudio", "campo", "pagina")
+    return evidence.coverage(narrow(found), narrow(read), ["id_estudio", "campo"], "pagina")
+
+
 @registry(
     """WITH d AS (SELECT DISTINCT id_estudio, tipo_documento, precision_hora, hora_estudio, fecha_estudio FROM estudio)
 SELECT * FROM (SELECT id_estudio, CASE WHEN NOT coalesce(tipo_documento IN ('ecg', 'laboratorio'), false) THEN 'tipo' WHEN NOT coalesce((precision_hora = 'ausente') = (hora_estudio IS NULL), false) THEN 'hora'
