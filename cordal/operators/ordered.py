@@ -30,8 +30,20 @@ def with_previous(df: DataFrame, key: str, order: list[str], value: str, slot: C
     )
 
 
+def maximum_before(df: DataFrame, key: str, order: list[str], value: str, slot: Column, name: str) -> DataFrame:
+    """``df`` with ``_slot`` and the maximum of ``value`` over the rows before each row."""
+    rows = df.withColumn("_slot", slot)
+    inside = W.partitionBy(key, "_slot").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_local", F.max(value).over(inside))
+    earlier = F.max("_m").over(W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1))
+    tops = df.withColumn("_slot", slot).groupBy(key, "_slot").agg(F.max(value).alias("_m"))
+    tops = tops.select(F.col(key).alias("_key"), F.col("_slot").alias("_s"), earlier.alias("_base"))
+    joined = rows.join(tops, rows[key].eqNullSafe(tops["_key"]) & rows["_slot"].eqNullSafe(tops["_s"]))
+    return joined.withColumn(name, F.greatest("_local", "_base")).drop("_local", "_key", "_s", "_base")
+
+
 def running_sum(df: DataFrame, key: str, order: list[str], value: str, name: str) -> DataFrame:
-    """Sum of ``value`` up to each row; ``df`` must have ``_slot`` from ``with_previous``."""
+    """Sum of ``value`` up to each row; ``df`` must have ``_slot`` from a function above."""
     inside = W.partitionBy(key, "_slot").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = df.withColumn("_local", F.sum(value).over(inside))
     totals = df.groupBy(key, "_slot").agg(F.sum(value).alias("_t"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cordal.operators.ordered import with_previous
 from cordal.session import ship
 
 #: Fixed values of the recorded layout: rate, samples, column offsets, paper scales, tolerances.
@@ -72,16 +73,20 @@ def decimated(array: Column, step: int = 2) -> Column:
     return F.filter(array, lambda x, i: i % step == 0)
 
 
-def gap_partition(df: DataFrame, key: str, value: str, parts: int) -> DataFrame:
+def gap_partition(df: DataFrame, key: str, value: str, parts: int, slot: Column | None = None) -> DataFrame:
     """``grupo`` 0..parts-1: values of a key cut at its ``parts - 1`` largest gaps.
 
-    Equal gaps are cut from the smaller value on.
+    Equal gaps are cut from the smaller value on. ``slot`` never falls in ``value``;
+    it spreads a large key. Only the cuts of a key, fewer than ``parts``, are brought
+    together, with a limit before the shuffle, and joined back.
     """
-    by = W.partitionBy(key)
-    rows = df.withColumn("_gap", F.col(value) - F.lag(value).over(by.orderBy(value)))
-    rows = rows.withColumn("_rank", F.row_number().over(by.orderBy(F.desc_nulls_last("_gap"), value)))
-    cut = (F.col("_gap").isNotNull() & (F.col("_rank") < parts)).cast("int")
-    return rows.withColumn("grupo", F.sum(cut).over(by.orderBy(value).rowsBetween(W.unboundedPreceding, 0))).drop("_gap", "_rank")
+    rows = with_previous(df, key, [value], value, F.lit(0) if slot is None else slot, "_antes")
+    gaps = rows.where(~F.col("_primera")).select(F.col(key).alias("_k"), F.col(value).alias("_v"), (F.col(value) - F.col("_antes")).alias("_gap"))
+    rank = F.row_number().over(W.partitionBy("_k").orderBy(F.desc("_gap"), "_v"))
+    cuts = gaps.withColumn("_n", rank).where(F.col("_n") < parts).groupBy("_k").agg(F.collect_list("_v").alias("_cortes"))
+    out = df.join(cuts, df[key].eqNullSafe(cuts["_k"]), "left")
+    count = F.size(F.filter("_cortes", lambda c: c <= F.col(value))).cast("long")
+    return out.withColumn("grupo", F.when(F.col("_cortes").isNull(), F.lit(0).cast("long")).otherwise(count)).drop("_k", "_cortes")
 
 
 def nearest_index(values: Column, references: Column) -> Column:

@@ -422,7 +422,7 @@ SELECT user_id, t, CAST(sum(CASE WHEN gap IS NOT NULL AND k < 4 THEN 1 ELSE 0 EN
 def largest_gap_partition(spark, sf_dir):
     """Moments of a user cut at the three largest gaps."""
     rows = table(spark, sf_dir, "events").select("user_id", F.unix_timestamp("ts").alias("t")).distinct()
-    return signals.gap_partition(rows, "user_id", "t", 4)
+    return signals.gap_partition(rows, "user_id", "t", 4, F.floor(F.col("t") / 86_400))
 
 
 @registry(

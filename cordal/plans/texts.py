@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cordal.functions import masking, values
-from cordal.operators import evidence, leaks, lines
+from cordal.operators import evidence, leaks, lines, ordered
 from cordal.plans.registry import Registry
 from cordal.session import table
 
@@ -238,14 +238,11 @@ SELECT user_id, min(a) AS inicio, max(b) AS fin FROM i GROUP BY user_id, k"""
 )
 def span_fusion(spark, sf_dir):
     """Overlapping or touching intervals of a user as islands."""
-    from pyspark.sql import Window as W
-
     a = F.floor(F.unix_timestamp("ts") / 60)
     rows = table(spark, sf_dir, "events").select("user_id", a.alias("a"), (a + 30).alias("b"))
-    w = W.partitionBy("user_id").orderBy("a", "b")
-    m = F.max("b").over(w.rowsBetween(W.unboundedPreceding, -1))
-    rows = rows.withColumn("n", F.when(m.isNull() | (m < F.col("a")), 1).otherwise(0))
-    rows = rows.withColumn("k", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    rows = ordered.maximum_before(rows, "user_id", ["a", "b"], "b", F.floor(F.col("a") / 1440), "m")
+    rows = rows.withColumn("n", F.when(F.col("m").isNull() | (F.col("m") < F.col("a")), 1).otherwise(0))
+    rows = ordered.running_sum(rows, "user_id", ["a", "b"], "n", "k")
     return rows.groupBy("user_id", "k").agg(F.min("a").alias("inicio"), F.max("b").alias("fin")).drop("k")
 
 

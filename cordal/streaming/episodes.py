@@ -113,11 +113,19 @@ def closing_episodes(
 def idempotent_sink(path: str, key: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer: a batch that is written again replaces itself.
 
-    Each micro-batch has its own folder, so a retry after a lost executor or
-    driver never doubles rows.
+    Each micro-batch has its own folder, so a retry after a lost executor or driver
+    never doubles rows; keys that an earlier batch has written are left out. Rows
+    without a key are always written.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.dropDuplicates([key]).write.mode("overwrite").parquet(f"{path}/lote={epoch}")
+        spark = batch.sparkSession
+        new = batch.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(batch.where(F.col(key).isNull()))
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(folder) and any(s.getPath().getName().startswith("lote=") for s in files.listStatus(folder)):
+            before = spark.read.schema(f"`{key}` {batch.schema[key].dataType.simpleString()}, lote bigint").parquet(path)
+            new = new.join(before.where(F.col("lote") < epoch).select(key), key, "left_anti")
+        new.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/lote={epoch}")
 
     return write

@@ -34,3 +34,7 @@ def test_sink_replaces_its_own_batch(spark, tmp_path):
     write(df, 0)
     write(df, 0)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    for _ in range(2):
+        write(spark.createDataFrame([("b",), ("c",), (None,), (None,)], "k string"), 1)  # b came before
+    got = [r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got, key=str) == [None, None, "a", "b", "c"]
