@@ -7,10 +7,12 @@ tokens and is due when it reaches ``(c + size) / w`` (Pfair release times and
 deadlines). Serving the earliest deadline first interleaves the sources so that
 at any point no source is more than about one block away from its share.
 
-The mix may grow until the first source with a weight has used all its allowed
-repetitions, the others still having blocks: total = min over sources of
-capacity / weight. Beyond it the target shares cannot be kept, so blocks due
-later are not scheduled; the report shows capacity, use and shares reached.
+Without a stated ``total`` the mix grows until the first source with a weight has
+used all its allowed repetitions, the others still having blocks: total = min over
+sources of capacity / weight. Beyond it the target shares cannot be kept, so blocks
+due later are not scheduled. A stated ``total`` is taken as it is: where it is more
+than a source can give, that source ends early and the report shows by how much its
+share falls short.
 
 Distributed plan: token counts come from one scan in Python batches; the offset
 of a document within its source is a two-level prefix sum (chunk totals, then a
@@ -118,7 +120,7 @@ def _prefix_sums(counts: DataFrame, chunk: int) -> DataFrame:
     )
 
 
-def _sources(counts: DataFrame, targets: DataFrame) -> DataFrame:
+def _sources(counts: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
     """Per source with a target: weight, repetitions, tokens, capacity and the total it allows."""
     have = counts.groupBy("fuente").agg(F.sum("tokens").alias("tokens_fuente"), F.count("*").alias("documentos"))
     rows = targets.select(
@@ -131,18 +133,20 @@ def _sources(counts: DataFrame, targets: DataFrame) -> DataFrame:
         .fillna(0, ["tokens_fuente", "documentos"])
         .withColumn("capacidad", F.col("tokens_fuente") * F.col("repeticiones"))
         .withColumn("permite", F.when(F.col("capacidad") > 0, F.col("capacidad") / F.col("peso")))
-        .withColumn("total", F.min("permite").over(W.partitionBy(F.lit(1))))
+        .withColumn("total", F.min("permite").over(W.partitionBy(F.lit(1))) if total is None else F.lit(float(total)))
     )
 
 
-def schedule(documents: DataFrame, targets: DataFrame, path: str | None = None, chunk: int = CHUNK_ROWS) -> DataFrame:
+def schedule(
+    documents: DataFrame, targets: DataFrame, path: str | None = None, chunk: int = CHUNK_ROWS, total: float | None = None
+) -> DataFrame:
     """doc_id, fuente, repeticion, tokens, liberado, vence: the blocks of the mix.
 
     ``vence`` is the deadline in tokens of the whole mix; ascending order of
     (vence, fuente, repeticion, doc_id) is the interleaving.
     """
     counts = checkpoint(token_counts(documents, path or tokenizer_path()).where("tokens > 0").dropDuplicates(["doc_id"]))
-    return _blocks(counts, _sources(counts, targets), chunk)
+    return _blocks(counts, _sources(counts, targets, total), chunk)
 
 
 def _blocks(counts: DataFrame, sources: DataFrame, chunk: int) -> DataFrame:
@@ -166,10 +170,12 @@ def in_order(blocks: DataFrame) -> DataFrame:
     return blocks.orderBy("vence", "fuente", "repeticion", "doc_id")
 
 
-def share_report(documents: DataFrame, targets: DataFrame, path: str | None = None, chunk: int = CHUNK_ROWS) -> DataFrame:
+def share_report(
+    documents: DataFrame, targets: DataFrame, path: str | None = None, chunk: int = CHUNK_ROWS, total: float | None = None
+) -> DataFrame:
     """Per source: target weight, capacity, tokens used, share reached, deviation, repetitions used."""
     counts = checkpoint(token_counts(documents, path or tokenizer_path()).where("tokens > 0").dropDuplicates(["doc_id"]))
-    sources = _sources(counts, targets)
+    sources = _sources(counts, targets, total)
     used = (
         _blocks(counts, sources, chunk)
         .groupBy("fuente")

@@ -52,3 +52,13 @@ def test_missing_source_and_empty(spark):
     assert report["d"].capacidad == 0 and report["a"].tokens_mezcla > 0
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert schedule(empty, targets).count() == 0
+
+
+@needs
+def test_a_stated_total_is_kept_or_falls_short_by_the_caps(spark):
+    targets = spark.createDataFrame(TARGETS, "source string, peso double, max_repeticiones int")
+    most = max(r.tokens for r in schedule(corpus(spark), targets).collect())
+    small = schedule(corpus(spark), targets, total=500).agg({"tokens": "sum"}).first()[0]
+    assert 500 - 3 * most <= small <= 500
+    report = {r.fuente: r for r in share_report(corpus(spark), targets, total=1_000_000).collect()}
+    assert all(report[n].tokens_mezcla == report[n].capacidad and report[n].vueltas == k for n, _, k in TARGETS)
