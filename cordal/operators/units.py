@@ -140,12 +140,20 @@ def to_common_unit(
     units repeat endlessly, so their keys are made once per distinct spelling
     and joined back; a row itself only has its number cut out.
     """
+    rows = _measured(df, id_col, name_col, value_cols, unit_col, section_col, source_default)
+    return _converted(rows.withColumn("_ambito", F.lit(scope)), ref, {scope} if section_col else set()).drop("_ambito")
+
+
+def _measured(
+    df: DataFrame, id_col: str, name_col: str, value_cols: list[str], unit_col: str, section_col: str | None = None, source_default: Column | None = None
+) -> DataFrame:
+    """The columns of a measured table under common names."""
     kinds = dict(df.dtypes)
     numeric = [F.col(c).cast("double") for c in value_cols if kinds[c] in ("double", "float", "int", "bigint")]
     textual = [F.col(c).cast("string") for c in value_cols if kinds[c] == "string"]
     typed = F.coalesce(*numeric) if numeric else F.lit(None).cast("double")
     text = F.coalesce(*textual) if textual else F.lit(None).cast("string")
-    rows = df.select(
+    return df.select(
         F.col(id_col).cast("long").alias("id_fila"),
         F.col(name_col).cast("string").alias("_nombre"),
         (F.col(section_col).cast("string") if section_col else F.lit("")).alias("_seccion"),
@@ -154,6 +162,14 @@ def to_common_unit(
         F.col(unit_col).cast("string").alias("_unidad"),
         (F.lit(None).cast("string") if source_default is None else source_default).alias("_defecto"),
     )
+
+
+def _converted(rows: DataFrame, ref: DataFrame, sectioned: set[str]) -> DataFrame:
+    """``rows`` of one or several tables in common units; names are looked up within ``_ambito``.
+
+    ``sectioned`` are the scopes whose names belong to a section. The side tables
+    are made once for all tables.
+    """
     # digits and marks alone are a number; everything else goes through the pattern
     bare = F.translate("_texto", "0123456789.,", "") == ""
     as_number = lambda c: F.translate(c, ",−", ".-").try_cast("double")
@@ -166,33 +182,37 @@ def to_common_unit(
         ),
     ).withColumn("_cola", F.when(~bare, F.nullif(tail, F.lit(""))))
 
-    spelled = rows.select("_nombre", "_seccion").distinct()
+    with_section = F.col("_ambito").isin(list(sectioned)) if sectioned else F.lit(False)
+    names = analyte_names(ref).withColumnRenamed("ambito", "_ambito")
+    names = bounded(names.withColumn("seccion_key", F.when(with_section, F.col("seccion_key")).otherwise(F.lit(""))))
+    full = names.select("_ambito", "seccion_key", F.col("nombre_key").alias("_k"), F.col("codigo").alias("_c1"))
+    base = names.select("_ambito", "seccion_key", F.col("nombre_key").alias("_kb"), F.col("codigo").alias("_c2"))
+    spelled = rows.select("_ambito", "_nombre", "_seccion").distinct()
     spelled = (
-        spelled.withColumn("seccion_key", section_key(F.col("_seccion")) if section_col else F.lit(""))
+        spelled.withColumn("seccion_key", F.when(with_section, section_key(F.col("_seccion"))).otherwise(F.lit("")))
         .withColumn("_k", name_key(F.col("_nombre")))
         .withColumn("_kb", name_key(name_base(F.col("_nombre"))))
         .withColumn("_u3", unit_key(name_tail(F.col("_nombre"))))
-    )
-    names = bounded(analyte_names(ref.where(F.col("ambito") == scope)))
-    if not section_col:
-        names = names.withColumn("seccion_key", F.lit(""))
-    full = names.select("seccion_key", F.col("nombre_key").alias("_k"), F.col("codigo").alias("_c1"))
-    base = names.select("seccion_key", F.col("nombre_key").alias("_kb"), F.col("codigo").alias("_c2"))
-    spelled = spelled.join(full, ["seccion_key", "_k"], "left").join(base, ["seccion_key", "_kb"], "left")
-    spelled = spelled.select(
-        "_nombre",
-        "_seccion",
-        F.coalesce("_c1", "_c2").alias("codigo"),
-        F.when(F.col("_c1").isNull(), F.col("_u3")).alias("_u3"),  # a whole known name holds no unit
+        .join(full, ["_ambito", "seccion_key", "_k"], "left")
+        .join(base, ["_ambito", "seccion_key", "_kb"], "left")
+        .select(
+            "_ambito",
+            "_nombre",
+            "_seccion",
+            F.coalesce("_c1", "_c2").alias("codigo"),
+            F.when(F.col("_c1").isNull(), F.col("_u3")).alias("_u3"),  # a whole known name holds no unit
+        )
     )
     units = rows.select("_unidad").distinct().withColumn("_u1", F.nullif(unit_key(F.col("_unidad")), F.lit("")))
-    rows = rows.join(lookup(spelled), ["_nombre", "_seccion"], "left").join(lookup(units), "_unidad", "left")
+    rows = rows.join(lookup(spelled), ["_ambito", "_nombre", "_seccion"], "left").join(lookup(units), "_unidad", "left")
     rows = rows.withColumn(
         "unidad_hallada",
         F.coalesce("_u1", F.when(F.col("_cola").isNotNull(), unit_key(F.col("_cola"))), "_u3", unit_key(F.col("_defecto"))),
     )
-    factors = lookup(unit_factors(ref.where(F.col("ambito") == scope))).withColumnRenamed("unidad_key", "unidad_hallada")
+    factors = lookup(unit_factors(ref)).withColumnRenamed("unidad_key", "unidad_hallada")
+    others = [c for c in rows.columns if c in ("tabla", "_ambito")]
     return rows.join(factors, ["codigo", "unidad_hallada"], "left").select(
+        *others,
         "id_fila",
         "codigo",
         "valor",
@@ -210,20 +230,13 @@ def thousandths(value: Column) -> Column:
 
 def clinical_common_units(lab: DataFrame, results: DataFrame, echo: DataFrame, ref: DataFrame) -> DataFrame:
     """All three tables of measured values in common units, with ``tabla`` in front."""
-    parts = {
-        "laboratorio_crudo": to_common_unit(
-            lab, ref, id_col="id_fila", name_col="prueba", value_cols=["resultado"], unit_col="unidades",
-            scope="laboratorio", section_col="seccion",
-        ),
-        "resultado_laboratorio": to_common_unit(
-            results, ref, id_col="id_resultado", name_col="analito", value_cols=["valor_num", "valor_texto"],
-            unit_col="unidad", scope="laboratorio", section_col="seccion",
-        ),
-        "medida_eco": to_common_unit(
-            echo, ref, id_col="id_medida", name_col="nombre", value_cols=["valor"], unit_col="unidad", scope="eco",
-        ),
-    }
-    return reduce(DataFrame.unionByName, [d.select(F.lit(t).alias("tabla"), "*") for t, d in parts.items()])
+    parts = [
+        ("laboratorio_crudo", "laboratorio", _measured(lab, "id_fila", "prueba", ["resultado"], "unidades", "seccion")),
+        ("resultado_laboratorio", "laboratorio", _measured(results, "id_resultado", "analito", ["valor_num", "valor_texto"], "unidad", "seccion")),
+        ("medida_eco", "eco", _measured(echo, "id_medida", "nombre", ["valor"], "unidad")),
+    ]
+    rows = reduce(DataFrame.unionByName, [d.withColumns({"tabla": F.lit(t), "_ambito": F.lit(a)}) for t, a, d in parts])
+    return _converted(rows, ref, {"laboratorio"}).drop("_ambito")
 
 
 def differing_units(common: DataFrame) -> DataFrame:
