@@ -23,7 +23,6 @@ Defined results
 
 from __future__ import annotations
 
-import hashlib
 import hmac
 import re
 from collections.abc import Iterator
@@ -61,6 +60,8 @@ _ADDRESS = [  # what every match holds, and the pattern
 _PLAIN_ADDRESS = re.compile(rf"{_STREET}[ ](?:(?i:al|n[°º])[ ]?)?\d+{_FLAT}")
 _ADDRESS_CUE = re.compile(r"(?i)(?:\bvive[ ]en|\bdomicilio[^:\n]{0,20}:|\bubicable:|\bmudanza[ ]a|\bavisar[ ]en|\bdesde|\bdirecci[oó]n[^:\n]{0,20}:)\s+")
 
+_ADDRESS_WORDS = ("vive", "domicilio", "ubicable", "mudanza", "avisar", "desde", "direcci")  # one of them is in every cue
+
 _DIGIT = r"(?:[ ]?[()./-]?[ ]?\d)"
 _EXTENSION = r"[ ]+(?i:int|interno|ext)\.?[ ]*\d+"
 _NUMBER = re.compile(rf"[+(]?\d(?:{_DIGIT}{{5,}}\)?(?:{_EXTENSION})?|{_DIGIT}{{3,4}}\)?{_EXTENSION})")  # six digits and more
@@ -133,8 +134,14 @@ _LOWER_WORD = re.compile(rf"[{_LOW}]{{3,}}")
 _CUED = re.compile(
     rf"(?i)(?:\b({'|'.join(sorted(_TITLES, key=len, reverse=True))})\.?[ ]|\ba[ ]nombre[ ]de[ ]|\b(?:paciente|firma|nombre|m[eé]dic[oa]|solicitante|titular):[ ]*)(?=[^\W\d_]{{3}})"
 )
-#: What every cue holds, in lower case.
-_CUE_PARTS = ("dr", "sr", "lic", "prof", "ing", "enf", "téc", "tec", "obst", "don", "doñ", "doc", "señ", "nombre", ":")
+#: The word of every cue as it stands between blanks: with a point, a colon or an opening mark.
+_CUE_TOKENS = frozenset(
+    mark + word + end
+    for mark in ("", "(", "-", '"', "«", "“", "'", "/")
+    for word, ends in [*((t, ("", ".")) for t in _TITLES), ("nombre", ("", ":")), *((w, (":",)) for w in ("paciente", "firma", "medico", "medica", "médico", "médica", "solicitante", "titular"))]
+    for end in ends
+)
+_GLUED_LABEL = re.compile(r":[^\W\d_]|[^\s\w(\"«“'/-](?:dr|sr|lic|prof)")  # a cue without a blank before or behind it
 _ONE_WORD = re.compile(rf"{_WORD}(?!{_NEXT})")
 
 
@@ -270,7 +277,7 @@ def _cued_people(text: str) -> Iterator[tuple[int, int]]:
     """One capital word behind a title, and names typed without capitals: behind a
     title or label, or with a listed given name."""
     starts, low = set(), text.lower()
-    if any(part in low for part in _CUE_PARTS):
+    if not _CUE_TOKENS.isdisjoint(low.split()) or _GLUED_LABEL.search(low):
         for m in _CUED.finditer(text):
             at = m.end()
             if text[at].islower():
@@ -316,7 +323,7 @@ def _feistel(digits: str, key: bytes, tweak: str) -> str:
     half = len(digits) // 2
     a, b = digits[:half], digits[half:]
     for n in range(10):
-        seed = hmac.new(key, f"{tweak}|{len(digits)}|{n}|{b}".encode(), hashlib.sha256).digest()
+        seed = hmac.digest(key, f"{tweak}|{len(digits)}|{n}|{b}".encode(), "sha256")
         c = (int(a) + int.from_bytes(seed[:12], "big")) % 10 ** len(a)
         a, b = b, str(c).zfill(len(a))
     return a + b
@@ -331,7 +338,7 @@ def unfeistel(digits: str, key: bytes, tweak: str) -> str:
     a, b = digits[: sizes[0]], digits[sizes[0] :]
     for n in reversed(range(10)):
         left = sizes[0] if n % 2 == 0 else sizes[1]
-        seed = hmac.new(key, f"{tweak}|{len(digits)}|{n}|{a}".encode(), hashlib.sha256).digest()
+        seed = hmac.digest(key, f"{tweak}|{len(digits)}|{n}|{a}".encode(), "sha256")
         c = (int(b) - int.from_bytes(seed[:12], "big")) % 10**left
         a, b = str(c).zfill(left), a
     return a + b
@@ -437,9 +444,10 @@ def find(text: str) -> list[tuple[int, int, str]]:
         if any(h in low for h in heads):
             for m in pattern.finditer(text):
                 take(*m.span(), "STREET_ADDRESS")
-    for m in _ADDRESS_CUE.finditer(text):
-        if found := _PLAIN_ADDRESS.match(text, m.end()):
-            take(*found.span(), "STREET_ADDRESS")
+    if any(word in low for word in _ADDRESS_WORDS):
+        for m in _ADDRESS_CUE.finditer(text):
+            if found := _PLAIN_ADDRESS.match(text, m.end()):
+                take(*found.span(), "STREET_ADDRESS")
     for a, b, kind in _numbers(text):
         take(a, b, kind)
     rest = text
