@@ -28,7 +28,7 @@ import re
 from collections.abc import Iterator
 from datetime import date, timedelta
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -486,17 +486,25 @@ def protect(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str, str]]
 def protected_texts(df: DataFrame, id_col: str, text_col: str, key: bytes) -> DataFrame:
     """id, texto, texto_seguro and datos (spans with stand-ins) of each text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            safe, spans = [], []
-            for text in batch["texto"]:
+            safe, ends, flat = [], [0], []
+            for text in batch.column("texto").to_pylist():
                 new, data = protect(text, key)
                 safe.append(new)
-                spans.append([{"inicio": a, "fin": b, "tipo_entidad": k, "seudonimo": s} for a, b, k, s in data])
-            yield batch.assign(texto_seguro=safe, datos=spans)
+                flat += data
+                ends.append(len(flat))
+            columns = zip(*flat) if flat else ((), (), (), ())
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.string())
+            names = ("inicio", "fin", "tipo_entidad", "seudonimo")
+            spans = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("texto"), pa.array(safe, pa.string()), lists], ["id", "texto", "texto_seguro", "datos"]
+            )
 
     ship(df.sparkSession)
     rows = df.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("texto")
     )
-    return rows.mapInPandas(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA)
