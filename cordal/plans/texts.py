@@ -178,16 +178,17 @@ def redact_ids(spark, sf_dir):
 _CHAR = "CASE " + " ".join(
     f"WHEN c IN ('{plain}', '{marked}') THEN '{group}'"
     for plain, marked, group in [("a", "á", "[aáàäâ]"), ("e", "é", "[eéèëê]"), ("i", "í", "[iíìïî]"), ("o", "ó", "[oóòöô]"), ("u", "ú", "[uúùüû]"), ("ü", "ü", "[uúùüû]"), ("n", "ñ", "[nñ]")]
-) + " WHEN c = ' ' THEN '\\s+' WHEN regexp_matches(c, '[\\pL\\pN]') THEN c ELSE '\\' || c END"
+) + " WHEN c = ' ' THEN '(?:\\x01\\s\\x01)+' WHEN regexp_matches(c, '[\\pL\\pN]') THEN c ELSE '\\x01\\' || c || '\\x01' END"
+#: RE2 looks neither behind nor ahead: every character that is no letter or digit stands between two marks, so neighbours share none.
 _NAMED = f"""m AS (SELECT (ascii(id_medico) * 7 + length(nombre)) % 64 AS k, min(nombre) AS nombre FROM firma_medico WHERE nombre IS NOT NULL GROUP BY 1),
 a AS (SELECT DISTINCT id_seccion, texto || coalesce(' Informado por ' || nombre || '.', '') AS texto, trim(regexp_replace(nombre, '[\\s,]+', ' ', 'g'), ' ') AS n
   FROM texto_seccion_eco LEFT JOIN m ON id_seccion % 64 = k WHERE texto IS NOT NULL),
 q AS (SELECT *, list_reverse_sort(list_transform(list_distinct(list_filter(list_prepend(n, string_split(n, ' ')), lambda x: length(x) >= 3)), lambda x: {{'l': length(x), 'p': lower(x)}})) AS ps FROM a),
-e AS (SELECT *, '(?i)(^|[^\\pL\\pN])(?:' || array_to_string(list_transform(ps, lambda s: array_to_string(list_transform(string_split(s.p, ''), lambda c: {_CHAR}), '')), '|') || ')($|[^\\pL\\pN])' AS pat FROM q),
+e AS (SELECT *, '(?i)(^|\\x01)(?:' || array_to_string(list_transform(ps, lambda s: array_to_string(list_transform(string_split(s.p, ''), lambda c: {_CHAR}), '')), '|') || ')($|\\x01)' AS pat FROM q),
 b AS (SELECT *, {_RED.format(t='texto')} AS x FROM e),
 c AS (SELECT *, {_RED.format(t='substr(x, 2, length(x) - 2)')} AS y FROM b),
 d AS (SELECT *, substr(y, 2, length(y) - 2) AS ids FROM c),
-z AS (SELECT id_seccion, CASE WHEN len(ps) > 0 THEN regexp_replace(regexp_replace(ids, pat, '\\1[REDACTADO]\\2', 'g'), pat, '\\1[REDACTADO]\\2', 'g') ELSE ids END AS t FROM d)"""
+z AS (SELECT id_seccion, CASE WHEN len(ps) > 0 THEN replace(regexp_replace(regexp_replace(ids, '([^\\pL\\pN])', chr(1) || '\\1' || chr(1), 'g'), pat, '\\1[REDACTADO]\\2', 'g'), chr(1), '') ELSE ids END AS t FROM d)"""
 
 
 def _signed_sections(spark, sf_dir):
