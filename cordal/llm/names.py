@@ -11,19 +11,17 @@ the only best one, and the rounds go on.
 
 Only ids and hashed keys are shuffled to find pairs, and only pairs with a changed
 profile are scored again. Keys are specific (licence with initial, full name,
-surname with given name and specialty or institution); one that more than
-``LARGE_KEY`` profiles share is split by further fields, without losing a sure
-match. Surnames enter with their halves or one-letter deletions, which makes
-misspellings meet. Nothing is collected on the driver.
+surname with given name and specialty or institution). The profiles of a key that
+more than ``LARGE_KEY`` share are all compared as well, block against block, so
+that no task holds more than two blocks. Surnames enter with their halves or
+one-letter deletions, which makes misspellings meet. Nothing is collected on the
+driver.
 
 Defined results
 ---------------
 * null or unparsable name: its own class; null licence, specialty or
   institution: unknown, compatible with everything.
 * repeated rows of one id: one record. Ties in attaching: left unlinked.
-* a sparse profile without second surname, licence, institution or middle name,
-  under a key of more than ``LARGE_KEY`` profiles: one of many equals, not
-  attached through that key.
 * empty tables: no rows. Extra columns are ignored.
 """
 
@@ -31,8 +29,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +52,10 @@ _OCR = str.maketrans("013458$", "oieasbs")
 _PARTICLES = {"de", "del", "la", "las", "los", "da", "do", "dos"}
 
 FIELDS = ["givens", "initials", "middles", "middle_initials", "either_initials", "first", "second", "second_initials", "licences", "specialties", "institutions"]
-#: A key that more profiles share is split further.
+#: The profiles of a key that more share are compared block against block.
 LARGE_KEY = 128
+#: About so many profiles are in a block.
+BLOCK = 2048
 
 
 def distance_one(a: str, b: str) -> bool:
@@ -82,7 +83,7 @@ def _fold(word: str) -> str:
     return word.replace("rn", "m").replace("k", "qu")
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=20_000)
 def given_candidates(token: str, dotted: bool = False) -> frozenset[str]:
     """Canonical given names a token may stand for (short form, prefix, one typo)."""
     if token in _GIVEN or token in _SHORT:
@@ -287,9 +288,12 @@ def _pack(profile: dict) -> str:
 _NO_MARKS = {0x1E: " ", 0x1F: " "}
 
 
-@lru_cache(maxsize=50_000)
+_NONE: frozenset = frozenset()
+
+
+@lru_cache(maxsize=10_000)
 def _unpack(text: str) -> dict:
-    return {f: frozenset(x for x in part.split("\x1e") if x) for f, part in zip(FIELDS, text.split("\x1f"))}
+    return {f: frozenset(x for x in part.split("\x1e") if x) if part else _NONE for f, part in zip(FIELDS, text.split("\x1f"))}
 
 
 def _knowledge(p: dict) -> int:
@@ -341,18 +345,48 @@ def blocking_keys(p: dict, stage: str) -> set[str]:
     )
 
 
-def refining_keys(p: dict) -> set[str]:
-    """What splits a key that too many profiles share: both surnames (each with its
-    deletions, in any order), the second surname's initial, licence, institution, middle name."""
-    first, second = _deletions(p["first"]), _deletions(p["second"])
+def _bits(words: set[str]) -> int:
+    """One of 64 bits for each word; sets without a common bit have no common word."""
+    return reduce(lambda m, w: m | 1 << (hash(w) & 63), words, 0)
+
+
+def _ends(words: set[str]) -> int:
+    """Bits of the first two and the last two characters, of which words that ``_near`` takes for one share at least one."""
+    return _bits({e for w in words for x in (w, _fold(w)) for e in (x[:2] + "<", ">" + x[-2:])})
+
+
+_ALL = (1 << 64) - 1
+
+
+def _traits(p: dict) -> tuple[int, ...]:
+    """What ``_possible`` tests of a profile, as bits."""
+    number = _ALL if any(len(n) < 5 for n in p["licences"]) else _ends(p["licences"])
+    one = len(p["first"]) < 2 and len(p["second"]) < 2
+    letters = {c for w in p["first"] | p["second"] for c in w if c not in "rnmkqu"}  # _fold changes the others nowhere
     return (
-        {"w|" + "|".join(sorted((x, y))) for x in first for y in second}
-        | {f"j|{w}" for w in _deletions({x for x in p["first"] if len(x) > 9} | {x + y for x in p["first"] for y in p["second"]})}
-        | {f"2|{x}" for x in p["second_initials"]}
-        | {f"l|{n}" for n in _deletions(p["licences"])}
-        | {f"i|{x}" for x in p["institutions"]}
-        | {f"m|{x[0]}" for x in p["middles"] | p["middle_initials"] | p["either_initials"]}
-    )
+        _bits(p["specialties"]), _bits(p["licences"]), number, _bits(p["givens"]), _bits(p["initials"]),
+        _ends(p["second"]), _ends(p["first"]), reduce(lambda m, c: m | 1 << (ord(c) & 63), letters, 0), int(one),
+    )
+
+
+def _possible(one: np.ndarray, many: np.ndarray, stage: str) -> np.ndarray:
+    """Which profiles may match one; ``match_score`` is 0 (in the stage "sure" below 10) for all others.
+
+    Each test follows from a rule of ``match_score``: fields, given names, licences
+    or second surnames that exclude each other.
+    """
+    field, licence, number, given, initial, second, first, letters, single = many
+    f, n, m, g, i, s, x, z, u = one
+    equal = licence & n != 0
+    ok = equal | (field == 0) | (f == 0) | (field & f != 0)
+    ok &= (licence == 0) | (n == 0) | (number & m != 0)
+    named, both = (given != 0) & (g != 0), (second != 0) & (s != 0)
+    ok &= np.where(named, given & g != 0, (initial == 0) | (i == 0) | (initial & i != 0))
+    spelt = (single & u == 0) | (np.bitwise_count(letters ^ z) <= 2)
+    ok &= ~both | spelt | (second & (s | x) != 0) | (first & s != 0)
+    if stage == "sure":
+        ok &= equal | named & (both | ((second != 0) | (s != 0)) & spelt)
+    return ok
 
 
 def _hash(key: str) -> int:
@@ -405,97 +439,128 @@ def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([_row(pid, _unpack(t), 0) for pid, t in zip(batch["pid"], batch["perfil"])], columns=_NODE_COLUMNS)
 
 
-def _candidates(nodes: DataFrame, stage: str, since: int, limit: int) -> DataFrame:
-    """(a, b): distinct pairs that share a key, one of them newer than round ``since``; a < b.
+def _matches(nodes: DataFrame, stage: str, since: int, limit: int) -> DataFrame:
+    """The matches among all pairs that share a key, one of them newer than round ``since``, as ``_match`` gives them.
 
     Only ids and hashed keys are shuffled. Keys of one profile, or of old ones
-    alone, are dropped before that. A key with more than ``limit`` profiles is
-    split by ``refining_keys``; profiles with nothing to refine by are some of many
-    equals there and stay apart.
+    alone, are dropped before that. The pairs of a key with more than ``limit``
+    profiles are never written down: ``_crowded`` compares them.
     """
     keyed = nodes.select("pid", (F.col("desde") > since).alias("nuevo"), F.explode(stage).alias("clave"))
     if since >= 0:
         fresh = checkpoint(keyed.where("nuevo").select("clave").distinct())
         keyed = keyed.join(bounded(fresh), "clave", "left_semi")
-    sizes = lambda df: df.groupBy("clave").agg(F.count("*").alias("n"), F.max("nuevo").alias("alguno")).where("n > 1 AND alguno")
+    sizes = keyed.groupBy("clave").agg(F.count("*").alias("n"), F.max("nuevo").alias("alguno")).where("n > 1 AND alguno")
+    shared = checkpoint(sizes)
+    large = shared.where(F.col("n") > limit).select("clave", "n")
+    rows = keyed.join(shared.where(F.col("n") <= limit).select("clave"), "clave")
+    left, right = rows.select("clave", F.col("pid").alias("a"), "nuevo"), rows.select("clave", F.col("pid").alias("b"), F.col("nuevo").alias("_n"))
+    pairs = left.join(right, "clave").where("a < b AND (nuevo OR _n)").select("a", "b").distinct()
+    found = _scored(nodes, pairs, stage)
+    return found if large.isEmpty() else found.union(_crowded(nodes, keyed.join(large, "clave"), stage)).distinct()
 
-    def pairs(rows: DataFrame) -> DataFrame:
-        left, right = rows.select("clave", F.col("pid").alias("a"), "nuevo"), rows.select("clave", F.col("pid").alias("b"), F.col("nuevo").alias("_n"))
-        return left.join(right, "clave").where("a < b AND (nuevo OR _n)").select("a", "b")
 
-    shared = checkpoint(sizes(keyed))
-    large = shared.where(F.col("n") > limit).select("clave")
-    small = pairs(keyed.join(shared.where(F.col("n") <= limit).select("clave"), "clave"))
-    if large.isEmpty():
-        return small.distinct()
+MATCH = "a bigint, b bigint, puntos double, saber int"
+_MATCH_COLUMNS = [c.split()[0] for c in MATCH.split(", ")]
 
-    def refine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [
-                (pid, new, _hash(f"{key}|{sub}"))
-                for pid, new, text, keys in zip(batch["pid"], batch["nuevo"], batch["perfil"], batch["claves"])
-                for sub in refining_keys(_unpack(text))
-                for key in keys
-            ]
-            yield pd.DataFrame(out, columns=["pid", "nuevo", "clave"])
 
-    crowded = keyed.join(large, "clave").groupBy("pid", "nuevo").agg(F.collect_set("clave").alias("claves"))
-    crowded = crowded.join(nodes.select("pid", "perfil"), "pid")
-    finer = crowded.mapInPandas(refine, "pid bigint, nuevo boolean, clave bigint")
-    return small.union(pairs(finer.join(sizes(finer).select("clave"), "clave"))).distinct()
+def _match(a: int, b: int, p: dict, q: dict, stage: str) -> tuple | None:
+    """(a, b, puntos, saber) of a pair that matches: ``a`` tells less, ``saber`` is how much ``b`` tells."""
+    score = match_score(p, q)
+    if score <= 0 or stage == "sure" and score < 10:
+        return None
+    m, n = _knowledge(p), _knowledge(q)
+    return (a, b, score, n) if (-m, a) > (-n, b) else (b, a, score, m)
 
 
 def _scored(nodes: DataFrame, pairs: DataFrame, stage: str) -> DataFrame:
-    """(a, b, puntos) of the pairs that match; in the sparse stage ``a`` is the one that tells less."""
+    """The matches among the pairs (a, b)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
-                p, q = _unpack(x), _unpack(y)
-                score = match_score(p, q)
-                if stage == "sure":
-                    if score >= 10:
-                        out.append((a, b, score))
-                elif score > 0:
-                    out.append((a, b, score) if (-_knowledge(p), a) > (-_knowledge(q), b) else (b, a, score))
-            yield pd.DataFrame(out, columns=["a", "b", "puntos"])
+            found = (_match(a, b, _unpack(x), _unpack(y), stage) for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]))
+            yield pd.DataFrame([m for m in found if m], columns=_MATCH_COLUMNS)
 
     both = pairs.join(nodes.select(F.col("pid").alias("a"), F.col("perfil").alias("x")), "a")
     both = both.join(nodes.select(F.col("pid").alias("b"), F.col("perfil").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInPandas(run, "a bigint, b bigint, puntos double")
+    return both.select("a", "b", "x", "y").mapInPandas(run, MATCH)
+
+
+def _crowded(nodes: DataFrame, keyed: DataFrame, stage: str) -> DataFrame:
+    """The matches among all pairs of each key of (pid, nuevo, clave, n), one of the two new.
+
+    A key's profiles are dealt into blocks, and every two blocks (and every block
+    with itself) meet in one cell. A pair with several of these keys is scored
+    under the smallest only.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, rows = None, []
+        for batch in batches:
+            columns = [batch[c] for c in ("clave", "i", "j", "bloque", "pid", "nuevo", "perfil", "claves")]
+            for clave, i, j, *row in zip(*columns):
+                if (clave, i, j) != cell:
+                    yield from _cell(cell, rows, stage)
+                    cell, rows = (clave, i, j), []
+                rows.append(row)
+        yield from _cell(cell, rows, stage)
+
+    owners = keyed.groupBy("pid").agg(F.collect_set("clave").alias("claves")).join(nodes.select("pid", "perfil"), "pid")
+    parts = F.ceil(F.col("n") / BLOCK)
+    dealt = keyed.join(owners, "pid").withColumn("bloque", F.pmod(F.xxhash64("pid"), parts))
+    dealt = dealt.withColumn("otro", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    dealt = dealt.select("clave", F.least("bloque", "otro").alias("i"), F.greatest("bloque", "otro").alias("j"), "bloque", "pid", "nuevo", "perfil", "claves")
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "clave", "i", "j").sortWithinPartitions("clave", "i", "j").mapInPandas(run, MATCH)
+
+
+def _cell(cell: tuple | None, rows: list, stage: str) -> Iterator[pd.DataFrame]:
+    """The matches of a cell's rows (bloque, pid, nuevo, perfil, claves): between its two blocks, or within its one."""
+    if not rows:
+        return
+    clave, i, j = cell
+    right = [r for r in rows if r[0] == j]
+    pids, news = np.array([r[1] for r in right], "int64"), np.array([r[2] for r in right], bool)
+    traits = np.array([_traits(_unpack(r[3])) for r in right], "uint64").reshape(-1, 9).T
+    keys, out = [frozenset(r[4].tolist()) for r in right], []
+    for _, a, new, text, own in rows if i == j else (r for r in rows if r[0] == i):
+        p, own = _unpack(text), frozenset(own.tolist())
+        ok = _possible(np.array(_traits(p), "uint64"), traits, stage)
+        if i == j:
+            ok &= pids > a
+        if not new:
+            ok &= news
+        for k in np.flatnonzero(ok):
+            if min(keys[k] & own) == clave:
+                m = _match(a, int(pids[k]), p, _unpack(right[k][3]), stage)
+                if m:
+                    out.append(m)
+        if len(out) > 20_000:
+            yield pd.DataFrame(out, columns=_MATCH_COLUMNS)
+            out = []
+    yield pd.DataFrame(out, columns=_MATCH_COLUMNS)
 
 
 def _single_best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The link (a, b) of every profile with one best partner, from a stream sorted by it.
+    """The link (a, b) of every profile with one best partner, from a stream sorted by it, the best partners first.
 
     Partners that may be one person themselves count as one: the richest of the
     best stands for all. Partners that exclude each other stay rivals; only a
     lead of a whole point decides between them.
     """
-    name, found, out = None, [], []
-
-    def decide() -> None:
-        best = max(s for s, _, _ in found)
-        ranked = sorted((x for x in found if x[0] >= best - 1), key=lambda x: (-x[0], -_knowledge(x[2]), x[1]))
-        score, partner, profile = ranked[0]
-        rivals = [s for s, _, q in ranked[1:] if not match_score(q, profile) > 0]
-        if all(score - s >= 1 for s in rivals):
-            out.append((name, partner))
-
+    name, partner, best, profile, alone, out = None, None, 0.0, None, False, []
     for batch in batches:
         for a, b, score, text in zip(batch["a"], batch["b"], batch["puntos"], batch["perfil"]):
             if a != name:
-                if name is not None:
-                    decide()
-                name, found = a, []
-            found.append((score, b, _unpack(text)))
-        if len(out) > 20_000:
-            yield pd.DataFrame(out, columns=["a", "b"])
-            out = []
-    if name is not None:
-        decide()
-    yield pd.DataFrame(out, columns=["a", "b"])
+                if alone:
+                    out.append((name, partner))
+                name, partner, best, profile, alone = a, b, score, _unpack(text), True
+            elif alone and best - score < 1 and not match_score(_unpack(text), profile) > 0:
+                alone = False
+        yield pd.DataFrame(out, columns=["a", "b"])
+        out = []
+    if alone:
+        yield pd.DataFrame([(name, partner)], columns=["a", "b"])
 
 
 def _merge_nodes(moment: int):
@@ -558,7 +623,7 @@ def same_person(records: DataFrame, limit: int = LARGE_KEY) -> DataFrame:
     members = named.select("id", F.col("pid").alias("actual"))
     last, known, moment, quiet, stage = {"sure": -1, "sparse": -1}, None, 0, 0, "sure"
     while quiet < 2:
-        scored = _scored(nodes, _candidates(nodes, stage, last[stage], limit), stage)
+        scored = _matches(nodes, stage, last[stage], limit)
         last[stage] = moment
         if stage == "sure":
             links = checkpoint(scored.select("a", "b"))
@@ -566,7 +631,7 @@ def same_person(records: DataFrame, limit: int = LARGE_KEY) -> DataFrame:
             known = checkpoint(scored if known is None else known.union(scored))
             best = known.groupBy("a").agg(F.max("puntos").alias("mejor"))
             close = known.join(best, "a").where("puntos >= mejor - 1").join(nodes.select(F.col("pid").alias("b"), "perfil"), "b")
-            ordered = close.select("a", "b", "puntos", "perfil").repartition("a").sortWithinPartitions("a", "b")
+            ordered = close.select("a", "b", "puntos", "saber", "perfil").repartition("a").sortWithinPartitions("a", F.desc("puntos"), F.desc("saber"), "b")
             links = checkpoint(ordered.mapInPandas(_single_best, "a bigint, b bigint"))
         if links.isEmpty():
             quiet += 1
