@@ -56,6 +56,8 @@ FIELDS = ["givens", "initials", "middles", "middle_initials", "either_initials",
 LARGE_KEY = 128
 #: About so many profiles are in a block.
 BLOCK = 2048
+#: A worker hands on so many nodes with their keys at once.
+NODES = 2000
 
 
 def distance_one(a: str, b: str) -> bool:
@@ -436,7 +438,9 @@ def profiles(records: DataFrame) -> DataFrame:
 def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Nodes of packed profiles, with the hashes of their keys of both stages."""
     for batch in batches:
-        yield pd.DataFrame([_row(pid, _unpack(t), 0) for pid, t in zip(batch["pid"], batch["perfil"])], columns=_NODE_COLUMNS)
+        for n in range(0, len(batch), NODES):
+            part = batch.iloc[n : n + NODES]
+            yield pd.DataFrame([_row(pid, _unpack(t), 0) for pid, t in zip(part["pid"], part["perfil"])], columns=_NODE_COLUMNS)
 
 
 def _matches(nodes: DataFrame, stage: str, since: int, limit: int) -> DataFrame:
@@ -575,6 +579,9 @@ def _merge_nodes(moment: int):
                     if name is not None:
                         out.append(_row(name, merged, moment))
                     name, merged = clase, _unpack(text)
+                    if len(out) == NODES:
+                        yield pd.DataFrame(out, columns=_NODE_COLUMNS)
+                        out = []
             yield pd.DataFrame(out, columns=_NODE_COLUMNS)
             out = []
         if name is not None:

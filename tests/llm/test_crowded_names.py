@@ -1,9 +1,11 @@
 """A usual surname: keys that many profiles share are split, and no sure link is lost."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 
 from cordal.llm import names
 from cordal.llm.lexicon import GIVEN_NAMES
@@ -73,6 +75,22 @@ def test_blocks_compare_every_pair_once(spark, monkeypatch):
         assert sorted(got) == sorted(brute) and brute
 
 
+def test_partners_of_one_profile_are_not_held_together():
+    """Of any number of partners that are as good, a worker keeps the first (and the last profiles it has read)."""
+
+    def batches():
+        for k in range(12):
+            packed = [names._pack({f: set() for f in names.FIELDS} | {"first": {"garcia"}, "initials": {"a"}, "licences": {str(n)}}) for n in range(10**6 + k * 4000, 10**6 + k * 4000 + 4000)]
+            yield pd.DataFrame({"a": 10**6, "b": range(k * 4000, k * 4000 + 4000), "puntos": 4.0, "perfil": packed})
+
+    names._unpack.cache_clear()
+    tracemalloc.start()
+    found = pd.concat(names._single_best(batches()))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found.empty and peak < 40e6
+
+
 def test_no_pair_that_matches_is_passed_over():
     rnd, full = random.Random(2), []
     syllables = ["ka", "qua", "marn", "mam", "lo", "le", "te", "gar", "cia"]
