@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -128,88 +129,189 @@ def stroke_kind(points: Column) -> Column:
     )
 
 
-def _clusters(values: np.ndarray, k: int) -> np.ndarray | None:
+def _clusters(values: list[float], k: int) -> list[int] | None:
     """Cluster number of each value after cutting at the k-1 largest gaps."""
     if len(values) < k:
         return None
-    order = np.argsort(values, kind="stable")
-    gaps = np.diff(values[order])
-    cuts = np.sort(np.argsort(-gaps, kind="stable")[: k - 1]) + 1
-    label = np.zeros(len(values), int)
-    for part, at in enumerate(np.split(order, cuts)):
+    order = sorted(range(len(values)), key=values.__getitem__)
+    gaps = [values[j] - values[i] for i, j in zip(order, order[1:])]
+    cuts = {i + 1 for i in sorted(range(len(gaps)), key=lambda i: -gaps[i])[: k - 1]}
+    label, part = [0] * len(values), 0
+    for n, at in enumerate(order):
+        part += n in cuts
         label[at] = part
     return label
 
 
-def _resampled(xs: np.ndarray, uv: np.ndarray, seconds: float, count: int) -> np.ndarray | None:
-    """``count`` samples at the recorded rate by linear interpolation, or None."""
-    order = np.argsort(xs, kind="stable")
-    t = (xs[order] - xs[order][0]) / MM_PER_S
-    if not np.isfinite(uv).all() or abs(t[-1] - seconds) > TOLERANCE * seconds:
+def _rows(low: list[float], high: list[float], heights: list[np.ndarray]) -> list[int] | None:
+    """Row of each lead by the median of its heights.
+
+    A median lies between lowest and highest point. Where groups of these ranges
+    are farther apart than each is wide, they decide and no median is taken.
+    """
+    rows = _clusters(low, 3)
+    of = lambda values, r: [v for v, k in zip(values, rows) if k == r]
+    ranges = [(min(of(low, r)), max(of(high, r))) for r in range(3)]
+    if min(ranges[1][0] - ranges[0][1], ranges[2][0] - ranges[1][1]) > max(h - l for l, h in ranges):
+        return rows
+    return _clusters([float(np.median(a)) for a in heights], 3)
+
+
+def _bands(feet: list[float], ranges: list[tuple[float, float]], heights: list[list[np.ndarray]]) -> list[int]:
+    """The band of the nearest median of each foot, from the bands' ranges where these decide."""
+    near = []
+    for f in feet:
+        most = [max(h - f, f - l) for l, h in ranges]
+        best = most.index(min(most))
+        if any(max(l - f, f - h, 0.0) <= most[best] for k, (l, h) in enumerate(ranges) if k != best):
+            medians = np.array([np.median(np.concatenate(b)) for b in heights])
+            return [int(np.argmin(np.abs(medians - x))) for x in feet]
+        near.append(best)
+    return near
+
+
+class Workspace:
+    """Arrays that serve one signal after the other: mapping new memory for each would take longer than the arithmetic."""
+
+    def __init__(self) -> None:
+        self._kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, int], kind: type = float) -> np.ndarray:
+        size = shape[0] * shape[1]
+        if name not in self._kept or self._kept[name].size < size:
+            self._kept[name] = np.empty(size, kind)
+        return self._kept[name][:size].reshape(shape)
+
+
+def _resampled(xs: np.ndarray, uv: np.ndarray, count: int, work: Workspace) -> np.ndarray | None:
+    """``count`` samples at the recorded rate of each line, by linear interpolation, or None.
+
+    Where every point lies less than half a step from its sample, the two points
+    around a sample are known; that gives the numbers of ``np.interp`` without its search.
+    """
+    seconds, grid = count / RATE_HZ, np.arange(count) / RATE_HZ
+    lines, points = xs.shape
+    t = work("t", xs.shape)
+    np.divide(np.subtract(xs, xs[:, :1], out=t), MM_PER_S, out=t)
+    last = t[:, -1]
+    off = np.subtract(grid, t, out=work("off", xs.shape)) if points == count else None
+    if off is not None and -0.5 / RATE_HZ < (least := off.min()) and off.max() < 0.5 / RATE_HZ:
+        out, slope, step = work("out", xs.shape), work("slope", (1, t.size - 1))[0], work("step", (1, t.size - 1))[0]
+        u, v, at, by = uv.reshape(-1), out.reshape(-1), t.reshape(-1), off.reshape(-1)  # all lines in a row: the slope between two lines is not used
+        np.subtract(u[1:], u[:-1], out=slope)
+        slope /= np.subtract(at[1:], at[:-1], out=step)
+        np.add(np.multiply(slope, by[:-1], out=step), u[:-1], out=v[:-1])
+        out[:, -1] = uv[:, -1]
+        if least < 0:  # the sample lies before its point
+            before = by[1:] < 0
+            np.copyto(off, grid)
+            np.multiply(slope, np.subtract(by[1:], at[:-1], out=step), out=step)
+            step += u[:-1]
+            np.putmask(v[1:], before, step)
+    else:
+        order = np.argsort(xs, axis=1, kind="stable")
+        xs, uv = np.take_along_axis(xs, order, 1), np.take_along_axis(uv, order, 1)
+        t = (xs - xs[:, :1]) / MM_PER_S
+        if not np.isfinite(uv).all():
+            return None
+        out, last = np.array([np.interp(grid, a, b) for a, b in zip(t, uv)]), t[:, -1]
+    if np.abs(last - seconds).max() > TOLERANCE * seconds:
         return None
-    out = np.rint(np.interp(np.arange(count) / RATE_HZ, t, uv[order]))
-    return None if np.abs(out).max() > MAX_UV else out.astype(np.int16)
+    np.rint(out, out=out)
+    return out.astype(np.int16) if out.max() <= MAX_UV and out.min() >= -MAX_UV else None
 
 
 def rebuild_signal(strokes: list) -> tuple[np.ndarray, np.ndarray] | None:
+    """``rebuild_axes`` of strokes that are lists of points or arrays of two columns."""
+    arrays = [np.array([(p["x"], p["y"]) for p in s], float) if isinstance(s, list) else s for s in strokes or [] if len(s) > 1]
+    return rebuild_axes([a[:, 0] for a in arrays], [a[:, 1] for a in arrays])
+
+
+def rebuild_axes(xs: list[np.ndarray], ys: list[np.ndarray], work: Workspace | None = None) -> tuple[np.ndarray, np.ndarray] | None:
     """12 x 5000 samples in microvolts and their mask; None on any violation.
 
-    Vertical axis grows downwards. Four rows of the grid (three of leads, one strip)
-    each have a calibration pulse of ten millimetres.
+    ``xs`` and ``ys``: the coordinates of each stroke. Vertical axis grows downwards. Four
+    rows of the grid (three of leads, one strip) each have a calibration pulse of ten millimetres.
+    With ``work`` the result holds until the next call with it.
     """
-    arrays = [np.array([(p["x"], p["y"]) for p in s], float) if isinstance(s, list) else s for s in strokes or [] if len(s) > 1]
-    if any(np.isnan(a).any() for a in arrays):
-        return None
-    kinds = {"lead": [], "strip": [], "pulse": []}
-    for a in arrays:
+    work = work or Workspace()
+    kinds: dict[str, list[int]] = {"lead": [], "strip": [], "pulse": []}
+    for i, a in enumerate(xs):
         n = len(a)
+        if n < 2:
+            continue
         if abs(n - LEAD_SAMPLES) <= SAMPLE_TOLERANCE:
-            kinds["lead"].append(a)
+            kinds["lead"].append(i)
         elif abs(n - STRIP_SAMPLES) <= SAMPLE_TOLERANCE:
-            kinds["strip"].append(a)
+            kinds["strip"].append(i)
         elif n <= 100:
-            kinds["pulse"].append(a)
+            kinds["pulse"].append(i)
         else:
             return None
     if [len(kinds[k]) for k in ("lead", "strip", "pulse")] != [12, 1, 4]:
         return None
-    pulse_x = np.mean([p[:, 0].mean() for p in kinds["pulse"]])
-    body = np.concatenate([kinds["strip"][0][:, 0], *[a[:, 0] for a in kinds["lead"]]])
-    forward = pulse_x <= body.mean()  # pulses stand where time begins
-    flip = (lambda x: x) if forward else (lambda x: -x)
-    foot, scale = [], []
-    for p in sorted(kinds["pulse"], key=lambda p: p[:, 1].mean()):
-        base = p[np.argmin(flip(p[:, 0])), 1]
-        top = p[np.argmax(np.abs(p[:, 1] - base)), 1]
+    lengths: dict[int, list[int]] = {}  # lines of one length are one array; as a rule that is all leads, and the strip
+    for i in kinds["lead"]:
+        lengths.setdefault(len(xs[i]), []).append(i)
+    stacks = []
+    for own in [*lengths.values(), kinds["strip"]]:
+        shape = (len(own), len(xs[own[0]]))
+        x, y = work(f"x{len(stacks)}", shape), work(f"y{len(stacks)}", shape)
+        for of, to in ((xs, x), (ys, y)):
+            np.concatenate([of[i] for i in own], out=to.reshape(-1))
+        stacks.append((own, x, y))
+    pulses = [(xs[i].tolist(), ys[i].tolist()) for i in kinds["pulse"]]
+    low, high = {}, {}
+    for own, _, y in stacks:
+        low.update(zip(own, y.min(axis=1).tolist()))
+        high.update(zip(own, y.max(axis=1).tolist()))
+    body_x = sum(float(x.sum()) for _, x, _ in stacks) / sum(x.size for _, x, _ in stacks)
+    if not math.isfinite(body_x) or any(v != v for v in low.values()) or any(v != v for p in pulses for a in p for v in a):
+        return None
+    forward = sum(sum(x) / len(x) for x, _ in pulses) / len(pulses) <= body_x  # pulses stand where time begins
+    if not forward:
+        for _, x, _ in stacks:
+            np.negative(x, out=x)
+    feet, scale = [], []
+    for x, y in pulses:
+        base = y[x.index(min(x) if forward else max(x))]
+        top = max(y, key=lambda v: abs(v - base))
         height = base - top
         if abs(abs(height) - MM_PER_MV) > TOLERANCE * MM_PER_MV:
             return None
-        foot.append(base)
+        feet.append(base)
         scale.append(1000.0 / height)
     if len({s > 0 for s in scale}) != 1:
         return None
-    leads = kinds["lead"]
-    columns = _clusters(np.array([flip(a[:, 0]).min() for a in leads]), 4)
-    rows = _clusters(np.array([np.median(a[:, 1]) for a in leads]), 3)
+    begin = {i: v for own, x, _ in stacks for i, v in zip(own, x.min(axis=1).tolist())}
+    leads, strip = kinds["lead"], kinds["strip"][0]
+    columns = _clusters([begin[i] for i in leads], 4)
+    rows = _rows([low[i] for i in leads], [high[i] for i in leads], [ys[i] for i in leads])
     if columns is None or rows is None or len({*zip(columns, rows)}) != 12:
         return None
-    bands = np.array([*[np.median(np.concatenate([a[:, 1] for a, r in zip(leads, rows) if r == k])) for k in range(3)], np.median(kinds["strip"][0][:, 1])])
-    near = [int(np.argmin(np.abs(bands - f))) for f in foot]
+    bands = [*([i for i, r in zip(leads, rows) if r == k] for k in range(3)), [strip]]
+    near = _bands(feet, [(min(low[i] for i in b), max(high[i] for i in b)) for b in bands], [[ys[i] for i in b] for b in bands])
     if len(set(near)) != 4:
         return None
-    base_of = {b: (f, s) for b, f, s in zip(near, foot, scale)}
-    samples, mask = np.zeros((12, STRIP_SAMPLES), np.int16), np.zeros((12, STRIP_SAMPLES), bool)
-    for a, c, r in zip(leads, columns, rows):
-        f, s = base_of[r]
-        got = _resampled(flip(a[:, 0]), (f - a[:, 1]) * s, LEAD_SAMPLES / RATE_HZ, LEAD_SAMPLES)
+    base_of = {b: (f, s) for b, f, s in zip(near, feet, scale)}
+    place = {i: (c, r) for i, c, r in zip(leads, columns, rows)} | {strip: (0, 3)}
+    samples, mask = work("samples", (12, STRIP_SAMPLES), np.int16), work("mask", (12, STRIP_SAMPLES), bool)
+    samples.fill(0)
+    mask.fill(False)
+    for own, x, y in stacks:
+        foot, factor = (np.array([base_of[place[i][1]][k] for i in own])[:, None] for k in (0, 1))
+        np.multiply(np.subtract(foot, y, out=y), factor, out=y)
+        got = _resampled(x, y, STRIP_SAMPLES if own == [strip] else LEAD_SAMPLES, work)
         if got is None:
             return None
-        lead, at = 3 * c + r, COLUMN_OFFSETS[c]
-        samples[lead, at : at + LEAD_SAMPLES], mask[lead, at : at + LEAD_SAMPLES] = got, True
-    f, s = base_of[3]
-    strip = kinds["strip"][0]
-    whole = _resampled(flip(strip[:, 0]), (f - strip[:, 1]) * s, STRIP_SAMPLES / RATE_HZ, STRIP_SAMPLES)
-    if whole is None or not _plausible(samples, whole):
+        if own == [strip]:
+            whole = got[0]
+            continue
+        for i, line in zip(own, got):
+            c, r = place[i]
+            at = slice(COLUMN_OFFSETS[c], COLUMN_OFFSETS[c] + LEAD_SAMPLES)
+            samples[3 * c + r, at], mask[3 * c + r, at] = line, True
+    if not _plausible(samples, whole):
         return None
     v1 = LEADS.index("V1")
     samples[v1], mask[v1] = whole, True
@@ -221,13 +323,15 @@ def _plausible(samples: np.ndarray, strip: np.ndarray) -> bool:
     part = lambda name, c: samples[LEADS.index(name), COLUMN_OFFSETS[c] :][:LEAD_SAMPLES].astype(float)
     one, two, three = (part(n, 0) for n in ("I", "II", "III"))
     r, left, f = (part(n, 1) for n in ("aVR", "aVL", "aVF"))
-    size = lambda x: float(np.sqrt(np.mean(x * x)))
+    size = lambda x: float(np.sqrt((x * x).sum() / len(x)))
     if size(two - one - three) > RESIDUE_LIMIT * max(size(two), 1e-9):
         return False
     if size(r + left + f) > RESIDUE_LIMIT * max(size(r), size(left), size(f), 1e-9):
         return False
     a, b = part("V1", 2), strip[COLUMN_OFFSETS[2] :][:LEAD_SAMPLES].astype(float)
-    return bool(a.std() > 0 and b.std() > 0 and np.corrcoef(a, b)[0, 1] >= CORRELATION_LIMIT)
+    a, b = a - a.mean(), b - b.mean()
+    spread = float(np.sqrt((a * a).sum() * (b * b).sum()))
+    return spread > 0 and float((a * b).sum()) >= CORRELATION_LIMIT * spread
 
 
 def with_signal(df: DataFrame, strokes: str) -> DataFrame:
@@ -237,14 +341,14 @@ def with_signal(df: DataFrame, strokes: str) -> DataFrame:
     kind = pa.struct([("muestras", pa.list_(pa.list_(pa.int16()))), ("mascara", pa.list_(pa.list_(pa.bool_())))])
 
     def rebuilt(column: pa.Array) -> pa.Array:
-        rows = []
+        rows, work = [], Workspace()
         points = column.values.values  # strokes are ragged: one flat view of all points, cut by the offsets
-        flat = np.column_stack([np.asarray(points.field(c).fill_null(np.nan), float) for c in ("x", "y")])
+        x, y = (np.asarray(points.field(c).fill_null(np.nan), float) for c in ("x", "y"))
         outer, inner = np.asarray(column.offsets), np.asarray(column.values.offsets)
         for n, known in enumerate(column.is_valid().to_pylist()):
-            own = range(outer[n], outer[n + 1]) if known else ()
-            found = rebuild_signal([flat[inner[i] : inner[i + 1]] for i in own]) if known else None
-            rows.append({"muestras": None, "mascara": None} if found is None else {"muestras": list(found[0]), "mascara": list(found[1])})
+            own = [slice(inner[i], inner[i + 1]) for i in range(outer[n], outer[n + 1])] if known else []
+            found = rebuild_axes([x[s] for s in own], [y[s] for s in own], work) if known else None
+            rows.append({"muestras": None, "mascara": None} if found is None else {"muestras": list(found[0].copy()), "mascara": list(found[1].copy())})
         return pa.array(rows, kind)
 
     return df.withColumn("senal", F.arrow_udf(rebuilt, SIGNAL)(strokes))
